@@ -81,8 +81,8 @@ def bronze_bars(
     """
     start = normalize_window_date(start_date)
     end = normalize_window_date(end_date)
-    if start is None or end is None:
-        raise ValueError("bronze window needs both start_date and end_date")
+    if (start is None) != (end is None):
+        raise ValueError("bronze window needs both start_date and end_date (or neither)")
     if exchanges is not None:
         check_exchanges(exchanges)
     df = raw
@@ -92,14 +92,17 @@ def bronze_bars(
     if listing is not None:
         df = universe_semi_join(df, listing)
     df = with_trading_date(df, formats)
-    df = df.where(F.col("trading_date").between(F.lit(start).cast("date"),
-                                                F.lit(end).cast("date")))
+    if start is None:
+        df = df.where(F.col("trading_date").isNotNull())
+    else:
+        df = df.where(F.col("trading_date").between(F.lit(start).cast("date"),
+                                                    F.lit(end).cast("date")))
     run_value = F.lit(run_date.isoformat()) if run_date else F.lit(None).cast("string")
     return df.select(
         "*",
         F.lit(api_source).alias("api_source"),
-        F.lit(start).alias("api_start_date"),
-        F.lit(end).alias("api_end_date"),
+        F.lit(start).cast("string").alias("api_start_date"),
+        F.lit(end).cast("string").alias("api_end_date"),
         run_value.alias("api_run_date"),
     )
 

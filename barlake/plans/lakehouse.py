@@ -58,9 +58,8 @@ class Lakehouse:
     # -- medallion -----------------------------------------------------------
     @cached_property
     def bronze(self) -> DataFrame:
-        if self.window is None:
-            return bronze.with_trading_date(self.raw).where("trading_date IS NOT NULL")
-        return bronze.bronze_bars(self.raw, *self.window, run_date=self.run_date)
+        start, end = self.window if self.window else (None, None)
+        return bronze.bronze_bars(self.raw, start, end, run_date=self.run_date)
 
     @cached_property
     def silver(self) -> DataFrame:
