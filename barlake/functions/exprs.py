@@ -23,18 +23,22 @@ NUMBER_PATTERN = (
 )
 # ISO day, optionally followed by a time of day: parsed by a plain cast.
 ISO_DAY_PATTERN = r"\A\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?\z"
-# Other text layouts tried in order when the text is not ISO.
-DATE_FORMATS = (
+# Optional extra text layouts (opt-in via ``formats=``) tried in order when
+# the text is not ISO; the default is ISO only, which keeps the parse a cheap
+# cast inside the pushed-down scan filter.
+EXTRA_DATE_FORMATS = (
     "yyyy/MM/dd",
     "yyyy/MM/dd HH:mm:ss",
     "MM/dd/yyyy",
     "MM/dd/yyyy HH:mm:ss",
 )
+DATE_FORMATS: tuple[str, ...] = ()
 # Window-bound text format accepted by the bronze reader.
 WINDOW_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 # ---------------------------------------------------------------------------
 
-_BLANK_EDGES = r"^\s+|\s+$"
+# ASCII whitespace removed from both ends by strip()
+_BLANKS = " \t\n\r\f\u000b"
 
 NUMERIC_TYPES = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType,
@@ -53,7 +57,7 @@ def col_type(df: DataFrame, name: str) -> T.DataType:
 def strip(c: Column) -> Column:
     """Trim blanks (space, tab, newline, CR, FF, VT) on both ends; Spark's
     ``trim`` removes spaces only."""
-    return F.regexp_replace(c, _BLANK_EDGES, "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def strip_upper(c: Column) -> Column:

@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.operators import bi, bronze, checks, gold, silver, warehouse
+from barlake.session import checkpoint_dir
 from barlake.sources import landing
 
 # --- fixed values of the test-table runs -----------------------------------
@@ -33,7 +34,8 @@ class Lakehouse:
                  window: tuple[str, str] | None = FIXTURE_WINDOW,
                  price_decimals: int | None = FIXTURE_PRICE_DECIMALS,
                  batch_ts: dt.datetime = FIXTURE_BATCH_TS,
-                 run_date: dt.date | None = FIXTURE_RUN_DATE):
+                 run_date: dt.date | None = FIXTURE_RUN_DATE,
+                 store_gold: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.source = source
@@ -41,6 +43,7 @@ class Lakehouse:
         self.price_decimals = price_decimals
         self.batch_ts = batch_ts
         self.run_date = run_date
+        self.store_gold = store_gold
 
     # -- landing -------------------------------------------------------------
     @cached_property
@@ -69,10 +72,20 @@ class Lakehouse:
     def gold(self) -> DataFrame:
         return gold.gold_bars(self.silver, price_decimals=self.price_decimals)
 
+    @cached_property
+    def gold_table(self) -> DataFrame:
+        """Gold as the warehouse reads it: written once to the reliable
+        checkpoint folder (lineage cut; survives executor loss) so dimension
+        and fact builds do not recompute the medallion chain."""
+        if not self.store_gold:
+            return self.gold
+        checkpoint_dir(self.spark)
+        return self.gold.checkpoint(eager=True)
+
     # -- warehouse -----------------------------------------------------------
     @cached_property
     def view(self) -> DataFrame:
-        return warehouse.gold_view(self.gold)
+        return warehouse.gold_view(self.gold_table)
 
     @cached_property
     def dim_date(self) -> DataFrame:
