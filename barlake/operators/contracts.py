@@ -125,7 +125,7 @@ def _lenient_number(c: Column) -> Column:
 def integer_valued_violations(c: Column, dtype: T.DataType) -> Column:
     """Rows that are not integer-valued (nulls ignored; inf / NaN text fail)."""
     if isinstance(dtype, INTEGRAL_TYPES):
-        return F.lit(0).cast("bigint")
+        return 0
     if isinstance(dtype, FRACTIONAL_TYPES):
         v = nan_to_null(c.cast("double"))
         return F.count_if(F.coalesce(~(v % 1 == 0), F.lit(False)))
@@ -140,7 +140,7 @@ def integer_valued_violations(c: Column, dtype: T.DataType) -> Column:
 def midnight_violations(c: Column, dtype: T.DataType) -> Column:
     """Timestamps carrying a time of day (a DATE is midnight by type)."""
     if isinstance(dtype, T.DateType):
-        return F.lit(0).cast("bigint")
+        return 0
     return F.count_if(F.coalesce(F.to_date(c).cast(dtype) != c, F.lit(False)))
 
 
@@ -168,12 +168,17 @@ REPORT_SCHEMA = "table string, seq int, rule string, column string, violations b
 
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     """Evaluate ``contract`` on ``df``; one row per rule, in evaluation order.
-    When the frame is empty only the ``empty`` rule is reported."""
+    When the frame is empty only the ``empty`` rule is reported.
+
+    One pass over ``df``: with a primary key, ``groupBy(pk)`` computes every
+    row-level counter per key (partial aggregation before the shuffle) and a
+    final aggregate sums them and counts duplicated rows; without one, a single
+    global aggregate."""
     schema = {f.name: f.dataType for f in df.schema.fields}
-    rules: list[tuple[str, str, Column]] = []  # (rule, column, violations expr)
+    rules: list[tuple[str, str, object]] = []  # (rule, column, int constant | agg Column)
 
     def add(rule: str, column: str, value) -> None:
-        rules.append((rule, column, value if isinstance(value, Column) else F.lit(int(value))))
+        rules.append((rule, column, value))
 
     for spec in contract.columns:
         if spec.name not in schema:
@@ -202,16 +207,15 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
         else:
             add("unknown_type", spec.name, 1)
 
-    pk_present = [k for k in contract.primary_key if k in schema]
-    for k in contract.primary_key:
+    pk = list(contract.primary_key)
+    pk_complete = bool(pk) and all(k in schema for k in pk)
+    for k in pk:
         if k in schema:
             add("pk_null", k, F.count_if(_is_missing(F.col(k), schema[k])))
         else:
             add("pk_missing_column", k, 1)
-    dup_index = None
-    if contract.primary_key and len(pk_present) == len(contract.primary_key):
-        dup_index = len(rules)
-        add("pk_duplicate", ",".join(contract.primary_key), 0)  # filled below
+    if pk_complete:
+        add("pk_duplicate", ",".join(pk), None)  # filled from the per-key counts
 
     for k in contract.not_null:
         if k in schema:
@@ -222,29 +226,36 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
             add("non_negative", k,
                 negative_violations(F.col(k), dtype) if isinstance(dtype, NUMERIC_TYPES) else 1)
 
-    counters = df.agg(F.count(F.lit(1)).alias("_rows"),
-                      *[expr.cast("bigint").alias(f"_v{i}") for i, (_, _, expr) in enumerate(rules)])
-    entries = [("empty", "", "CASE WHEN _rows = 0 THEN 1 ELSE 0 END")]
-    entries += [(rule, column, f"_v{i}") for i, (rule, column, _) in enumerate(rules)
-                if i != dup_index]
-    seqs = [0] + [i + 1 for i in range(len(rules)) if i != dup_index]
-    stack_args = ", ".join(
-        f"{seq}, '{rule}', '{column}', CAST({value} AS BIGINT)"
-        for seq, (rule, column, value) in zip(seqs, entries))
+    measured = [(i, v) for i, (_, _, v) in enumerate(rules) if isinstance(v, Column)]
+    if pk_complete:
+        per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_c"),
+                                      *[v.alias(f"_v{i}") for i, v in measured])
+        counters = per_key.agg(
+            F.coalesce(F.sum("_c"), F.lit(0)).alias("_rows"),
+            F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c") - 1).otherwise(0)), F.lit(0))
+             .alias("_dup"),
+            *[F.coalesce(F.sum(f"_v{i}"), F.lit(0)).alias(f"_v{i}") for i, _ in measured])
+    else:
+        counters = df.agg(F.count(F.lit(1)).alias("_rows"),
+                          *[v.alias(f"_v{i}") for i, v in measured])
+
+    def value_sql(i: int, v) -> str:
+        if v is None:
+            return "_dup"
+        if isinstance(v, Column):
+            return f"_v{i}"
+        return str(int(v))
+
+    entries = [(0, "empty", "", "CASE WHEN _rows = 0 THEN 1 ELSE 0 END")]
+    entries += [(i + 1, rule, column, value_sql(i, v)) for i, (rule, column, v) in enumerate(rules)]
+    stack_args = ", ".join(f"{seq}, '{rule}', '{column}', CAST({value} AS BIGINT)"
+                           for seq, rule, column, value in entries)
     report = counters.select(
         F.col("_rows"),
         F.expr(f"stack({len(entries)}, {stack_args}) AS (seq, rule, column, violations)"))
-    report = (report.where((F.col("_rows") > 0) | (F.col("rule") == "empty"))
-                    .select(F.col("seq").cast("int"), "rule", "column", "violations"))
-    if dup_index is not None:
-        # duplicated rows = sum(copies - 1) over keys held more than once
-        dups = (df.groupBy(*contract.primary_key).agg(F.count(F.lit(1)).alias("_c"))
-                  .where(F.col("_c") > 1)
-                  .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("violations"))
-                  .select(F.lit(dup_index + 1).cast("int").alias("seq"), F.lit("pk_duplicate").alias("rule"),
-                          F.lit(",".join(contract.primary_key)).alias("column"), "violations"))
-        report = report.unionByName(dups)
-    return report.select(F.lit(contract.table).alias("table"), "seq", "rule", "column", "violations")
+    report = report.where((F.col("_rows") > 0) | (F.col("rule") == "empty"))
+    return report.select(F.lit(contract.table).alias("table"), F.col("seq").cast("int"),
+                         "rule", "column", "violations")
 
 
 def enforce(report: DataFrame, *, strict: bool = True, always_fail_empty: bool = False) -> list[dict]:
@@ -270,7 +281,10 @@ def validate(df: DataFrame, contract: Contract, *, strict: bool = True) -> list[
 
 def _rule_report(df: DataFrame, rule: str, columns: list[str], fn) -> DataFrame:
     schema = {f.name: f.dataType for f in df.schema.fields}
-    exprs = [fn(F.col(c), schema[c]).cast("bigint").alias(f"_v{i}") for i, c in enumerate(columns)]
+    def agg(c):
+        v = fn(F.col(c), schema[c])
+        return (v if isinstance(v, Column) else F.lit(int(v))).cast("bigint")
+    exprs = [agg(c).alias(f"_v{i}") for i, c in enumerate(columns)]
     one = df.agg(*exprs)
     args = ", ".join(f"'{c}', _v{i}" for i, c in enumerate(columns))
     return one.select(F.expr(f"stack({len(columns)}, {args}) AS (column, violations)")).select(

@@ -52,22 +52,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, unique_key: list[str] | None = None,
-                       min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores
     (e.g. one unsplittable file / row group) so per-row parsing does not run
     in a single task. A large input already has enough splits and is left
-    untouched (no extra shuffle).
-
-    With ``unique_key`` (the table's primary key) rows are hash-distributed on
-    it: even, deterministic on task retry, and free of the local sort a
-    round-robin repartition needs; a unique key cannot be a hot key."""
+    untouched: no extra shuffle, and filters keep reaching the scan.
+
+    Rows are hash-distributed on their scan position
+    (``monotonically_increasing_id``): even, no local sort (unlike a
+    round-robin repartition), and stable on task retry because a file scan
+    yields rows in a fixed order. Being non-deterministic to the optimizer,
+    the key also keeps downstream parsing filters above the shuffle, where
+    they run in parallel instead of inside the single scan task."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    if unique_key:
-        return df.repartition(target, *unique_key)
-    return df.repartition(target)
+    return df.repartition(target, F.monotonically_increasing_id())
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -91,7 +91,7 @@ def _case(key: Column, mapping: dict) -> Column:
 def _tpch_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_quantity", "l_extendedprice", "l_shipdate"), ["l_orderkey", "l_linenumber"])
+        "l_quantity", "l_extendedprice", "l_shipdate"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # nation is the fixed 25-row TPC-H dimension at every scale: safe to broadcast.
@@ -152,8 +152,7 @@ def raw_bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as intraday bars: user -> ticker, event type -> venue, ts ->
     bar time (kept as a timestamp), value -> close, event id -> volume."""
     ev = ensure_parallelism(read_table(spark, sf_dir, "events")
-                            .select("event_id", "ts", "user_id", "event_type", "value"),
-                            ["event_id"])
+                            .select("event_id", "ts", "user_id", "event_type", "value"))
     uid = F.col("user_id").cast("string")
     return ev.select(
         F.when(F.col("user_id") < 1000, F.lpad(uid, 3, "0")).otherwise(uid).alias("symbol"),
