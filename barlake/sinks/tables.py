@@ -56,10 +56,12 @@ def render_dates_as_text(df: DataFrame) -> DataFrame:
 def write_partitioned(df: DataFrame, path: str, partition_col: str, *,
                       mode: str = "dynamic_overwrite", fmt: str = "parquet",
                       required_columns: Sequence[str] | None = None,
-                      sort_cols: Sequence[str] = ()) -> dict:
+                      sort_cols: Sequence[str] = (),
+                      extra_partition_cols: Sequence[str] = ()) -> dict:
     """Write ``df`` partitioned by the DAY of ``partition_col``; returns
     ``{"rows": n, "path": path}`` (row count observed during the write, no
-    extra job)."""
+    extra job). ``extra_partition_cols`` nest below the day (e.g. a stream's
+    batch id, so a replayed batch overwrites only its own sub-partitions)."""
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
     if fmt not in FORMATS:
@@ -77,7 +79,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, *,
     out = out.hint("rebalance", partition_col)
     if sort_cols:
         out = out.sortWithinPartitions(partition_col, *sort_cols)
-    writer = out.write.partitionBy(partition_col).format(fmt)
+    writer = out.write.partitionBy(partition_col, *extra_partition_cols).format(fmt)
     if fmt == "json":
         writer = writer.option("ignoreNullFields", "false")
     if mode == "dynamic_overwrite":
