@@ -66,7 +66,9 @@ class Lakehouse:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver.silver_bars(self.bronze, batch_ts=self.batch_ts)
+        # bronze already dropped unparseable days: no separate validation
+        # pass, a bad value would still fail the job ('raise')
+        return silver.silver_bars(self.bronze, batch_ts=self.batch_ts, on_bad_date="raise")
 
     @cached_property
     def gold(self) -> DataFrame:

@@ -14,6 +14,8 @@ every layer runs on data whose size grows with the scale factor:
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,11 +50,15 @@ LISTED_MAX_BRAND = 20    # listing holds brands 1..20
 # ---------------------------------------------------------------------------
 
 
+_METRIC_IDS = itertools.count()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       metric_name: str = "landed_rows") -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores
     (e.g. one unsplittable file / row group) so per-row parsing does not run
     in a single task. A large input already has enough splits and is left
@@ -61,13 +67,16 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     Rows are hash-distributed on their scan position
     (``monotonically_increasing_id``): even, no local sort (unlike a
     round-robin repartition), and stable on task retry because a file scan
-    yields rows in a fixed order. Being non-deterministic to the optimizer,
-    the key also keeps downstream parsing filters above the shuffle, where
-    they run in parallel instead of inside the single scan task."""
+    yields rows in a fixed order. The landed row count is observed right
+    after the shuffle; filters are not pushed through that metrics node, so
+    downstream parsing filters stay above the shuffle and run in parallel
+    instead of inside the single scan task."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, F.monotonically_increasing_id())
+    spread = df.repartition(target, F.monotonically_increasing_id())
+    # metric names must be unique within a plan (a source may be read twice)
+    return spread.observe(f"{metric_name}_{next(_METRIC_IDS)}", F.count(F.lit(1)).alias("rows"))
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -91,7 +100,7 @@ def _case(key: Column, mapping: dict) -> Column:
 def _tpch_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_quantity", "l_extendedprice", "l_shipdate"))
+        "l_quantity", "l_extendedprice", "l_shipdate"), metric_name="landed_line_items")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # nation is the fixed 25-row TPC-H dimension at every scale: safe to broadcast.
@@ -152,7 +161,8 @@ def raw_bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as intraday bars: user -> ticker, event type -> venue, ts ->
     bar time (kept as a timestamp), value -> close, event id -> volume."""
     ev = ensure_parallelism(read_table(spark, sf_dir, "events")
-                            .select("event_id", "ts", "user_id", "event_type", "value"))
+                            .select("event_id", "ts", "user_id", "event_type", "value"),
+                            metric_name="landed_events")
     uid = F.col("user_id").cast("string")
     return ev.select(
         F.when(F.col("user_id") < 1000, F.lpad(uid, 3, "0")).otherwise(uid).alias("symbol"),
