@@ -136,7 +136,7 @@ def q_dim_symbol(spark, d):
 def q_dim_date(spark, d):
     lh = _lh(spark, d)
     used = lh.fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"))
-    return (lh.dim_date.join(F.broadcast(used), "date_key", "left")
+    return (lh.dim_date.join(used, "date_key", "left")
               .withColumn("fact_rows", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint"))
               .drop("_n"))
 
@@ -153,13 +153,6 @@ def q_fact_yearly(spark, d):
     return _lh(spark, d).yearly
 
 
-def _check(fn):
-    def run(spark, d):
-        lh = _lh(spark, d)
-        return fn(lh)
-    return run
-
-
 def q_check_row_counts(spark, d):
     lh = _lh(spark, d)
     return checks.check_row_counts(lh.fact, lh.dim_date, lh.dim_symbol, lh.monthly, lh.yearly)

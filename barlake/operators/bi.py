@@ -54,10 +54,9 @@ def top_symbols_last_dates(fact: DataFrame, dates: DataFrame, symbols: DataFrame
     semi-join; the fact is then reduced per symbol_key before the dimension
     join. Ties on the average are broken by exchange, symbol.
     """
-    latest = fact.agg(F.max("date_key").alias("_max"))  # one row
+    latest = fact.agg(F.max("date_key")).scalar()  # uncorrelated scalar subquery
     recent = (dates.select("date_key")
-                   .join(F.broadcast(latest), F.col("date_key") <= F.col("_max"))
-                   .select("date_key")
+                   .where(F.col("date_key") <= latest)
                    .orderBy(F.col("date_key").desc())
                    .limit(n_dates))
     per_key = (fact.join(F.broadcast(recent), "date_key", "left_semi")
@@ -74,11 +73,11 @@ def recent_avg_close(view: DataFrame, *, anchor: str | None = None, days: int =
                      k: int = 10, price_decimals: int | None = None) -> DataFrame:
     """Top-k symbols by average close since ``anchor - days`` (anchor: a
     YYYY-MM-DD text, None = current_date(), or ``'max'`` = latest gold day,
-    taken from a one-row aggregate joined by broadcast)."""
+    taken by an uncorrelated scalar subquery)."""
     td = F.col("trading_date")
     if anchor == "max":
-        latest = view.agg(F.max("trading_date").alias("_anchor"))
-        scoped = view.join(F.broadcast(latest), td >= F.date_sub(F.col("_anchor"), days))
+        latest = view.agg(F.max("trading_date")).scalar()
+        scoped = view.where(td >= F.date_sub(latest, days))
     else:
         a = F.current_date() if anchor is None else F.lit(anchor).cast("date")
         scoped = view.where(td >= F.date_sub(a, days))

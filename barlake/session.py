@@ -29,6 +29,8 @@ BASE_CONF = {
     # (large inputs are unaffected: their partitions are far above it)
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # remove reliable checkpoint files once their DataFrame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

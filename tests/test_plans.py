@@ -31,3 +31,20 @@ def test_partition_pruning_on_day(spark, tmp_lake):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(trading_date" in plan
     assert "PushedFilters: [IsNotNull(exchange), EqualTo(exchange,HOSE)]" in plan
+
+
+def test_bi_uses_scalar_subquery_and_preaggregates(spark):
+    lh = Lakehouse(spark, SF_SMALL)
+    plan = _plan(lh.top_symbols_30d())
+    assert "Subquery" in plan and "BroadcastNestedLoopJoin" not in plan
+    vol = _plan(lh.volume_by_exchange_year())
+    # fact reduced per (symbol_key, year) before meeting dim_symbol
+    assert vol.count("HashAggregate(keys=[symbol_key") >= 1
+
+
+def test_small_scan_spread_keeps_filters_above_shuffle(spark):
+    plan = Lakehouse(spark, SF_SMALL).bronze._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    metrics = next(i for i, ln in enumerate(lines) if "CollectMetrics" in ln)
+    parse_filters = [i for i, ln in enumerate(lines) if "Filter" in ln and "RLIKE" in ln]
+    assert parse_filters and all(i < metrics for i in parse_filters)
