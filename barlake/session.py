@@ -61,12 +61,18 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect
+        pass
     return spark
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # Spark Connect: no driver-side SparkContext
+        return False
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -75,7 +81,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses the folder the cluster names in ``spark.checkpoint.dir``. Only when it
     is unset on a local-mode session (tests) is a private folder created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -93,6 +105,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def lake_root(spark: SparkSession) -> str:
     """Root folder for written layers: ``spark.barlake.lake.root`` when set,
     else a ``lake`` folder beside the checkpoint data (shared on a cluster)."""

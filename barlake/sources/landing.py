@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.functions.exprs import strip_upper
+from barlake.session import default_parallelism
 
 # Landing schema: vendor fields as text until silver parses them.
 RAW_SCHEMA = T.StructType([
@@ -71,8 +72,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     after the shuffle; filters are not pushed through that metrics node, so
     downstream parsing filters stay above the shuffle and run in parallel
     instead of inside the single scan task."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view; leave the scan as planned
+        return df
+    if splits >= target:
         return df
     spread = df.repartition(target, F.monotonically_increasing_id())
     # metric names must be unique within a plan (a source may be read twice)
