@@ -20,9 +20,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.operators import bi, bronze, checks, contracts, gold, silver, warehouse
-from barlake.sinks import tables
+from barlake.sinks import layers, tables
 
 log = logging.getLogger(__name__)
 
@@ -37,7 +38,7 @@ class MedallionConfig:
     source: str = silver.DEFAULT_SOURCE
     strict: bool = True
     write_mode: str = "dynamic_overwrite"
-    bronze_format: str = "parquet"
+    bronze_format: str = "json"
     price_decimals: int | None = None
 
     def path(self, layer: str) -> str:
@@ -59,33 +60,32 @@ def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
     violation raises when ``cfg.strict``; an empty gold stops with
     ``no_gold``."""
     run_date = cfg.run_date or dt.date.today()
-    manifest = cfg.path("_run_manifest")
     stats: dict = {"run_date": run_date.isoformat()}
     if raw.isEmpty():
         stats["status"] = "no_rows"
         return stats
 
-    # bronze
+    # bronze (keeps trading_date in the payload, partitioned by data_date)
     b = bronze.bronze_bars(raw, cfg.start_date, cfg.end_date, exchanges=cfg.exchanges,
                            listing=listing, run_date=run_date)
-    b = b.withColumn("data_date", F.col("trading_date"))
-    bronze_schema = b.drop("data_date").schema
-    res = tables.write_partitioned(b.drop("trading_date"), cfg.path("bronze"), "data_date",
-                                   mode=cfg.write_mode, fmt=cfg.bronze_format)
-    tables.record_run(spark, manifest, "bronze", run_date, res)
+    bronze_schema = b.schema
+    res = layers.save_bronze(b, cfg.path("bronze"), run_date, fmt=cfg.bronze_format,
+                             mode=cfg.write_mode)
+    if res is None:
+        stats["status"] = "no_rows"
+        return stats
     stats["bronze_rows"] = res["rows"]
 
     # silver (reads the bronze table back: the vendor fields stay text)
-    bronze_read = tables.read_layer(spark, cfg.path("bronze"), cfg.bronze_format,
-                                    schema=None if cfg.bronze_format == "parquet" else
-                                    bronze_schema.add("data_date", "date"))
+    bronze_read = tables.read_layer(
+        spark, cfg.path("bronze"), cfg.bronze_format,
+        schema=None if cfg.bronze_format == "parquet" else _json_bronze_schema(bronze_schema))
     bronze_read = _window_days(bronze_read, "data_date", cfg).drop("data_date")
-    s = silver.silver_bars(bronze_read, source=cfg.source, batch_ts=batch_ts)
+    s = silver.silver_bars(bronze_read, source=cfg.source, batch_ts=batch_ts,
+                           on_bad_date="raise")
     stats["silver_violations"] = contracts.validate(s, contracts.SILVER_CONTRACT, strict=cfg.strict)
-    res = tables.write_partitioned(s, cfg.path("silver"), "trading_date", mode=cfg.write_mode,
-                                   required_columns=["trading_date", "symbol"])
-    tables.record_run(spark, manifest, "silver", run_date, res)
-    stats["silver_rows"] = res["rows"]
+    res = layers.save_silver(s, cfg.path("silver"), run_date, mode=cfg.write_mode)
+    stats["silver_rows"] = res["rows"] if res else 0
 
     # gold
     silver_read = _window_days(tables.read_layer(spark, cfg.path("silver")), "trading_date", cfg)
@@ -94,15 +94,19 @@ def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
         stats["status"] = "no_gold"
         return stats
     stats["gold_violations"] = contracts.validate(g, contracts.GOLD_CONTRACT, strict=cfg.strict)
-    res = tables.write_partitioned(gold.sort_for_write(g), cfg.path("gold"), "trading_date",
-                                   mode=cfg.write_mode,
-                                   required_columns=["symbol", "trading_date", "close_price", "volume"])
-    tables.record_run(spark, manifest, "gold", run_date, res)
+    res = layers.save_gold(g, cfg.path("gold"), run_date=run_date, mode=cfg.write_mode)
     stats["gold_rows"] = res["rows"]
     stats["status"] = "ok"
     return stats
 
 
+def _json_bronze_schema(schema: T.StructType) -> T.StructType:
+    """Bronze JSON carries days as text; the partition column is a date."""
+    fields = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) else f.dataType)
+              for f in schema.fields]
+    return T.StructType(fields + [T.StructField("data_date", T.DateType())])
+
+
 def build_warehouse(spark: SparkSession, gold_table: DataFrame, warehouse_root: str, *,
                     price_decimals: int | None = None) -> dict[str, DataFrame]:
     """Dimensions and facts written under ``warehouse_root`` (replaced on
