@@ -135,14 +135,17 @@ def to_units(x: Column, decimals: int) -> Column:
 
 def units_mean_rounded(sum_units: Column, count: Column, unit_decimals: int,
                        places: int) -> Column:
-    """``round(sum/count, places)`` computed from an exact integer sum.
-
-    One IEEE division and one rounding, identical in every SQL engine, instead
-    of an order-dependent floating-point sum.
+    """``ROUND(AVG(x), places)`` from an exact integer sum of ``x`` in
+    ``10^-unit_decimals`` units.
+
+    The sum is exact and order-independent; the rest repeats the double
+    operations of ``round(avg * 10^n) / 10^n`` on the correctly rounded sum,
+    so decimal ties (1.005) round the way the binary average does (1.0), as in
+    SQL engines working on doubles. Each step is one IEEE operation: the same
+    bits in every engine.
     """
-    shift = float(10 ** (unit_decimals - places))
-    mean_in_place_units = sum_units / F.nullif(count, F.lit(0)) / F.lit(shift)
-    return F.round(mean_in_place_units) / F.lit(float(10 ** places))
+    mean = sum_units / F.lit(float(10 ** unit_decimals)) / F.nullif(count, F.lit(0))
+    return round_places(mean, places)
 
 
 def non_negative_clamp(x: Column) -> Column:
