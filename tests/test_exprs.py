@@ -58,9 +58,13 @@ def test_round_half_away_on_binary_value(spark):
     assert got == [1.0, 2.68, -1.0]
 
 
-def test_units_mean_rounded_is_exact(spark):
-    # mean of 1.00 and 1.01 is exactly 1.005 -> half away from zero -> 1.01
-    df = spark.createDataFrame([(1.00,), (1.01,)], "v double")
+def test_units_mean_rounded_follows_binary_average(spark):
+    # exact sum 2.01 -> average 1.005, whose double lies below the tie -> 1.0
+    # (what ROUND(AVG(v), 2) over doubles gives); order does not matter
+    df = spark.createDataFrame([(1.00,), (1.01,), (2.50,), (2.51,)], "v double")
     u = X.to_units(F.col("v"), 2)
-    got = df.agg(X.units_mean_rounded(F.sum(u), F.count(u), 2, 2).alias("m")).first().m
-    assert got == 1.01
+    pair = df.where("v < 2").agg(X.units_mean_rounded(F.sum(u), F.count(u), 2, 2).alias("m"))
+    assert pair.first().m == round(((1.00 + 1.01) / 2) * 100) / 100 == 1.0
+    for parts in (1, 3):
+        got = df.repartition(parts).agg(X.units_mean_rounded(F.sum(u), F.count(u), 2, 2)).first()[0]
+        assert got == 1.76
