@@ -163,9 +163,6 @@ def _type_ok(kind: str, dtype: T.DataType) -> bool | None:
 
 # --- report ------------------------------------------------------------------
 
-REPORT_SCHEMA = "table string, seq int, rule string, column string, violations bigint"
-
-
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     """Evaluate ``contract`` on ``df``; one row per rule, in evaluation order.
     When the frame is empty only the ``empty`` rule is reported.
