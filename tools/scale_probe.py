@@ -8,7 +8,12 @@
    copy, and per-task times of the stages are read from the event log to
    show whether a straggler appears.
 
+3. Cores: ``--cores SCRATCH`` rebuilds gold from the silver stored by a
+   previous run (replicated x4) on local[1], local[2], local[4] and local[8],
+   each in its own process (a JVM per core count).
+
 Usage: python tools/scale_probe.py [sf_dir] [scratch_dir]
+       python tools/scale_probe.py --cores scratch_dir
 """
 
 from __future__ import annotations
@@ -60,7 +65,36 @@ def _stage_tasks(logdir: str, since_ms: float) -> list[dict]:
     return out
 
 
+def _cores_child(silver_path: str, cores: int) -> None:
+    spark = build_session(f"local[{cores}]", shuffle_partitions=max(cores, 2),
+                          extra_conf={"spark.driver.memory": "16g"})
+    base = spark.read.parquet(silver_path)
+    rep = (base.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(3))))
+               .withColumn("symbol", F.concat("symbol", F.col("_k").cast("string")))
+               .withColumn("ingest_seq", F.struct("s1", "s2", "s3", "s4", "s5")).drop("_k"))
+    _noop(gold.gold_bars(rep, price_decimals=2))
+    print(json.dumps({"cores": cores, "silver_rows": rep.count(),
+                      "gold_seconds": _noop(gold.gold_bars(rep, price_decimals=2))}))
+    spark.stop()
+
+
+def cores(scratch: str) -> None:
+    import subprocess
+    silver_path = os.path.join(scratch, "silver")
+    for n in (1, 2, 4, 8):
+        out = subprocess.run([sys.executable, __file__, "--cores-child", silver_path, str(n)],
+                             capture_output=True, text=True, timeout=900)
+        line = [ln for ln in out.stdout.splitlines() if ln.startswith("{")]
+        print(line[-1] if line else out.stderr[-500:])
+
+
 def main() -> None:
+    if len(sys.argv) > 1 and sys.argv[1] == "--cores":
+        cores(sys.argv[2])
+        return
+    if len(sys.argv) > 1 and sys.argv[1] == "--cores-child":
+        _cores_child(sys.argv[2], int(sys.argv[3]))
+        return
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     scratch = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="scale-", dir="/tmp")
     logdir = tempfile.mkdtemp(prefix="evlog-", dir=scratch)
