@@ -1,9 +1,9 @@
 """Warehouse integrity checks.
 
-Each metric is a distributed aggregate returning one ``(metric, value)`` row;
-``integrity_report`` unions them into one report. Orphan checks are
-left-anti joins (a fact row with a null key never matches, so it counts as
-an orphan, as with LEFT JOIN ... IS NULL).
+Each ``check_*`` is a distributed aggregate returning ``(metric, value)``
+rows; orphan checks are left-anti joins (a fact row with a null key never
+matches, so it counts as an orphan, as with LEFT JOIN ... IS NULL).
+``integrity_report`` computes all of them with one pass per table.
 """
 
 from __future__ import annotations
@@ -86,20 +86,61 @@ def check_trading_days(monthly) -> DataFrame:
     return non_positive_days("monthly_trading_days_le_0", monthly)
 
 
+def _stack(df: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+    args = ", ".join(f"'{metric}', CAST(coalesce({col}, 0) AS BIGINT)" for metric, col in names)
+    return df.select(F.expr(f"stack({len(names)}, {args}) AS (metric, value)"))
+
+
 def integrity_report(fact, dates, symbols, monthly, yearly) -> DataFrame:
     """All warehouse checks as one (metric, value) table: row counts,
     duplicate grains (daily / monthly / yearly), null keys, orphan keys,
-    non-positive trading days."""
-    return reduce(DataFrame.unionByName, [
-        check_row_counts(fact, dates, symbols, monthly, yearly),
-        check_dup_daily(fact),
-        check_dup_monthly(monthly),
-        check_dup_yearly(yearly),
-        check_null_keys(fact),
-        check_orphan_dates(fact, dates),
-        check_orphan_symbols(fact, symbols),
-        check_trading_days(monthly),
-    ])
+    non-positive trading days.
+
+    One pass per table: the fact is first reduced to its distinct
+    (symbol_key, date_key) pairs with their row counts (partial aggregation
+    before the shuffle), the pairs are left-joined to the two dimensions'
+    keys (the calendar is broadcast; the symbol keys are joined by AQE's
+    choice), and a single aggregate yields rows, duplicate grain, null keys
+    and both orphan counts. A null key never matches, so it counts as an
+    orphan, as with LEFT JOIN ... IS NULL."""
+    pairs = fact.groupBy("symbol_key", "date_key").agg(F.count(F.lit(1)).alias("_n"))
+    cal = F.broadcast(dates.select(F.col("date_key").alias("_d")).distinct())
+    syms = symbols.select(F.col("symbol_key").alias("_s")).distinct()
+    flagged = (pairs.join(cal, pairs["date_key"] == cal["_d"], "left")
+                    .join(syms, pairs["symbol_key"] == syms["_s"], "left"))
+    n = F.col("_n")
+
+    def rows_where(cond):
+        return F.sum(F.when(cond, n).otherwise(F.lit(0)))
+    fact_stats = flagged.agg(
+        F.sum(n).alias("rows"),
+        F.count_if(n > 1).alias("dup"),
+        rows_where(F.col("date_key").isNull() | F.col("symbol_key").isNull()).alias("null_keys"),
+        rows_where(F.col("_d").isNull()).alias("orphan_dates"),
+        rows_where(F.col("_s").isNull()).alias("orphan_symbols"),
+    )
+    month_stats = (monthly.groupBy("symbol_key", "year", "month")
+                          .agg(F.count(F.lit(1)).alias("_n"),
+                               F.count_if(F.col("trading_days") <= 0).alias("_le0"))
+                          .agg(F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("dup"),
+                               F.sum("_le0").alias("le0")))
+    year_stats = (yearly.groupBy("symbol_key", "year").agg(F.count(F.lit(1)).alias("_n"))
+                        .agg(F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("dup")))
+    parts = [
+        _stack(fact_stats, [("fact_stock_price_rows", "rows")]),
+        row_count("dim_date_rows", dates),
+        row_count("dim_symbol_rows", symbols),
+        _stack(month_stats, [("fact_stock_price_monthly_rows", "rows")]),
+        _stack(year_stats, [("fact_stock_price_yearly_rows", "rows")]),
+        _stack(fact_stats, [("daily_duplicate_grain", "dup")]),
+        _stack(month_stats, [("monthly_duplicate_grain", "dup")]),
+        _stack(year_stats, [("yearly_duplicate_grain", "dup")]),
+        _stack(fact_stats, [("fact_null_keys", "null_keys"),
+                            ("fact_orphan_date_key", "orphan_dates"),
+                            ("fact_orphan_symbol_key", "orphan_symbols")]),
+        _stack(month_stats, [("monthly_trading_days_le_0", "le0")]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- fixed values of the corrupted-fact fixture ------------------------------
