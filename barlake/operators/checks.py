@@ -127,18 +127,18 @@ def integrity_report(fact, dates, symbols, monthly, yearly) -> DataFrame:
     year_stats = (yearly.groupBy("symbol_key", "year").agg(F.count(F.lit(1)).alias("_n"))
                         .agg(F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("dup")))
     parts = [
-        _stack(fact_stats, [("fact_stock_price_rows", "rows")]),
-        row_count("dim_date_rows", dates),
-        row_count("dim_symbol_rows", symbols),
-        _stack(month_stats, [("fact_stock_price_monthly_rows", "rows")]),
-        _stack(year_stats, [("fact_stock_price_yearly_rows", "rows")]),
-        _stack(fact_stats, [("daily_duplicate_grain", "dup")]),
-        _stack(month_stats, [("monthly_duplicate_grain", "dup")]),
-        _stack(year_stats, [("yearly_duplicate_grain", "dup")]),
-        _stack(fact_stats, [("fact_null_keys", "null_keys"),
+        _stack(fact_stats, [("fact_stock_price_rows", "rows"),
+                            ("daily_duplicate_grain", "dup"),
+                            ("fact_null_keys", "null_keys"),
                             ("fact_orphan_date_key", "orphan_dates"),
                             ("fact_orphan_symbol_key", "orphan_symbols")]),
-        _stack(month_stats, [("monthly_trading_days_le_0", "le0")]),
+        row_count("dim_date_rows", dates),
+        row_count("dim_symbol_rows", symbols),
+        _stack(month_stats, [("fact_stock_price_monthly_rows", "rows"),
+                             ("monthly_duplicate_grain", "dup"),
+                             ("monthly_trading_days_le_0", "le0")]),
+        _stack(year_stats, [("fact_stock_price_yearly_rows", "rows"),
+                            ("yearly_duplicate_grain", "dup")]),
     ]
     return reduce(DataFrame.unionByName, parts)
 
