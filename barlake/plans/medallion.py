@@ -38,7 +38,7 @@ class MedallionConfig:
     source: str = silver.DEFAULT_SOURCE
     strict: bool = True
     write_mode: str = "dynamic_overwrite"
-    bronze_format: str = "json"
+    bronze_format: str = "parquet"  # "json" = one JSON folder per day
     price_decimals: int | None = None
 
     def path(self, layer: str) -> str:

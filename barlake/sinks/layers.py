@@ -33,11 +33,11 @@ def _manifest_path(path: str) -> str:
     return path.rstrip("/") + "_run_manifest"
 
 
-def save_bronze(df: DataFrame, path: str, run_date: dt.date, *, fmt: str = "json",
+def save_bronze(df: DataFrame, path: str, run_date: dt.date, *, fmt: str = "parquet",
                 mode: str = "dynamic_overwrite") -> dict | None:
     """Bronze: one folder per ``data_date`` (the day of the first of
-    trading_date / date / time, which must already be temporal); JSON with
-    days rendered as text by default. Empty input writes nothing."""
+    trading_date / date / time, which must already be temporal); Parquet by
+    default, or JSON with days rendered as text. Empty input writes nothing."""
     if df.isEmpty():
         log.warning("No raw data to save")
         return None

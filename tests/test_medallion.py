@@ -14,7 +14,8 @@ from conftest import SF_SMALL
 def test_medallion_idempotent_and_strict(spark, tmp_lake):
     lh = Lakehouse(spark, SF_SMALL)
     cfg = MedallionConfig(lake_root=tmp_lake, start_date="2016-01-01", end_date="2020-12-31",
-                          run_date=dt.date(2026, 1, 1), strict=False, price_decimals=2)
+                          run_date=dt.date(2026, 1, 1), strict=False, price_decimals=2,
+                          bronze_format="json")
     ts = dt.datetime(2026, 1, 1)
     s1 = run_medallion(spark, lh.raw, cfg, batch_ts=ts)
     assert s1["status"] == "ok" and s1["bronze_rows"] == 2631
