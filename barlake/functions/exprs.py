@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 # Ticker rule: exactly three upper-case letters or digits after strip+upper.
 TICKER_PATTERN = r"\A[A-Z0-9]{3}\z"
 # Lenient number text: optional sign, digits with optional fraction (or a
-# bare fraction), optional exponent, or an infinity word; surrounding blanks.
+# bare fraction) and optional exponent, with surrounding blanks allowed; or a
+# signed infinity word with no blanks.
 NUMBER_PATTERN = (
     r"(?i)\A\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*\z"
-    r"|\A\s*[+-]?inf(inity)?\s*\z"
+    r"|\A[+-]?inf(inity)?\z"
 )
 # ISO day, optionally followed by a time of day: parsed by a plain cast.
 ISO_DAY_PATTERN = r"\A\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?\z"
