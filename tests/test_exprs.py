@@ -68,3 +68,12 @@ def test_units_mean_rounded_follows_binary_average(spark):
     for parts in (1, 3):
         got = df.repartition(parts).agg(X.units_mean_rounded(F.sum(u), F.count(u), 2, 2)).first()[0]
         assert got == 1.76
+
+
+def test_cluster_conf_scales_with_input():
+    from barlake.session import cluster_conf
+    small = cluster_conf(10 << 30)
+    large = cluster_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
