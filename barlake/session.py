@@ -70,15 +70,16 @@ def build_session(
 
 def cluster_conf(input_bytes: int, *, partition_bytes: int = 256 << 20,
                  scan_split_bytes: int = 512 << 20, min_partitions: int = 200,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+                 max_partitions: int = 400_000) -> dict[str, str]:
     """Settings sized from the input volume for a cluster run.
 
     The initial shuffle fan-out gives each post-shuffle partition about
     ``partition_bytes`` of (projected) input, so sorts and aggregation buffers
     fit in executor memory without heavy spilling; AQE then coalesces small
     partitions towards the advisory size and splits skewed ones. Scans read
-    ``scan_split_bytes`` per task. Example: 100 TB of input ->
-    100,000 partitions (the cap), 512 MB scan splits."""
+    ``scan_split_bytes`` per task. Example: 100 TB of input -> 400,000
+    partitions of 256 MB (map outputs of such fan-outs are tracked in
+    Spark's compressed map status), 512 MB scan splits."""
     partitions = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),

@@ -75,5 +75,5 @@ def test_cluster_conf_scales_with_input():
     small = cluster_conf(10 << 30)
     large = cluster_conf(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.shuffle.partitions"] == "400000"
     assert cluster_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
