@@ -86,3 +86,11 @@ def test_contract_from_yaml_layout():
     c = C.Contract.from_dict(spec)
     assert c.columns[0] == C.ColumnSpec("a", "string", False) and c.columns[1].nullable
     assert c.non_negative == ("b",)
+
+
+def test_load_contract_yaml(tmp_path):
+    path = tmp_path / "c.yaml"
+    path.write_text("table: t\ncolumns:\n  a:\n    type: string\n    nullable: false\n"
+                    "primary_key: [a]\nquality_checks:\n  not_null: [a]\n")
+    c = C.load_contract(str(path), always_fail_empty=True)
+    assert c.table == "t" and c.primary_key == ("a",) and c.always_fail_empty

@@ -46,3 +46,9 @@ def test_broken_fact_and_bi_first_rows(spark):
     assert (v.year, v.exchange, v.total_volume) == (2020, "HNX", 6977)
     t = lh.top_symbols_30d().first()
     assert (t.exchange, t.symbol, t.avg_close_30d) == ("HNX", "X17", 103974.79)
+
+
+def test_volume_report_top_n(spark):
+    top = Lakehouse(spark, SF_SMALL).volume_by_exchange_year(top_n=5).collect()
+    assert len(top) == 5 and (top[0].year, top[0].exchange, top[0].total_volume) == (2020, "HNX", 6977)
+    assert [r.total_volume for r in top] == sorted((r.total_volume for r in top), reverse=True)

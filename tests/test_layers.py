@@ -144,3 +144,18 @@ def test_yearly_is_day_weighted_close_unweighted_return(spark):
         assert y.avg_close_price == round((10 * 1 + 20 * 20) / 21, 2)
         assert y.avg_daily_return == 0.02
         assert y.trading_days == 21 and y.total_volume == 10
+
+
+def test_bronze_exchange_filter_uses_clean_venue(spark):
+    rows = [("AAA", " hose ", "2025-01-02", "1", "1", 1), ("BBB", "HNX", "2025-01-02", "1", "1", 2),
+            ("CCC", "UPCOM", "2025-01-02", "1", "1", 3)]
+    b = bronze.bronze_bars(_raw(spark, rows), "2025-01-01", "2025-01-31", exchanges=["HOSE"])
+    assert [r.symbol for r in b.collect()] == ["AAA"]
+
+
+def test_silver_lazy_raise_mode(spark):
+    bad = _raw(spark, [("AAA", "HOSE", "oops", "1", "1", 1)])
+    s = silver.silver_bars(bad, on_bad_date="raise")  # no extra pass: fails on execution
+    with pytest.raises(Exception, match="oops"):
+        s.collect()
+    assert silver.silver_bars(bad, on_bad_date="drop").count() == 0
