@@ -27,6 +27,19 @@ from barlake.plans.lakehouse import FIXTURE_WINDOW, Lakehouse  # noqa: E402
 from barlake.session import checkpoint_dir, fresh_path  # noqa: E402
 from barlake.sinks import tables  # noqa: E402
 
+try:  # the text operators are an optional part
+    from barlake.llm.registry import ORACLE_SQL as TEXT_SQL
+    from barlake.llm.registry import QUERIES as TEXT_QUERIES
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as run_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("barlake.llm", "corpus_pipeline"):
+        raise
+    TEXT_QUERIES, TEXT_SQL = {}, {}
+else:
+    TEXT_QUERIES = {**TEXT_QUERIES, "pipeline": run_pipeline}
+    TEXT_SQL = {**TEXT_SQL, **({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 BRONZE_COLS = ["symbol", "exchange", "time", "open", "high", "low", "close", "volume",
@@ -299,10 +312,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_manifest": q_bronze_manifest,
         "silver_manifest": q_silver_manifest,
         "gold_manifest": q_gold_manifest,
+        **TEXT_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every key of ``queries()`` (see ``oracle_sql.py``)."""
     from oracle_sql import oracle_queries
-    return oracle_queries()
+    return {**oracle_queries(), **TEXT_SQL}
