@@ -7,11 +7,16 @@ with all shingles in one order, two sets that link share one of their first
 ``n / 4 + 1``. The order puts frequent shingles last, so hot columns rarely
 stand in a prefix.
 
-Components need not see every link. In a column of many classes only the pairs
-with the column's smallest class are formed first; after these are verified and
-components known, pairs of such columns are formed across components only, which
-leaves out no link that could join two components. Every pair is verified by
-exact counting on both whole sets.
+Components need not see every link. In a long column each class is first paired
+with few pivots only: of the classes of about its size, the one with the most
+frequent shingles, which is the one that most others are copies of. After these
+pairs are verified and components known, pairs of long columns are formed across
+components, which leaves out no link that could join two components. Columns
+are cut into square blocks of classes for that.
+
+Sizes, and counts of shingles by the first byte of their hash, bound the overlap
+of a pair from above; pairs below the bound go before any set is read. What is
+left is verified by exact counting on both whole sets.
 """
 
 from __future__ import annotations
@@ -32,10 +37,18 @@ SHINGLE_WORDS = 5
 SHARED, JOINT = 4, 3
 #: Classes of a column up to which all its pairs are formed at once.
 FULL_COLUMN = 6
-#: Counters of a task's summary of frequent shingles, and the most that are
-#: broadcast. They only decide the order of shingles, never a result.
-SUMMARY, MOST_FREQUENT = 1 << 17, 1 << 21
-FREQUENT_DOCUMENTS = 48
+#: Classes on a side of the blocks that long columns are cut into.
+BLOCK = 1024
+#: Counters of a task's summary of frequent shingles, the most that are
+#: broadcast, and the documents that make a shingle frequent. They only decide
+#: the order of shingles and the pivots, never a result.
+SUMMARY, MOST_FREQUENT, FREQUENT_DOCUMENTS = 1 << 17, 1 << 21, 12
+#: Documents of a frequent shingle for each part that its column is salted into.
+SALT_DOCUMENTS = 4096
+#: Classes to verify whose ids are broadcast at most; more are joined by shuffle.
+BROADCAST_CLASSES = 200_000
+#: Counts in a sketch.
+COUNTS = 256
 
 U = np.uint64
 
@@ -63,6 +76,27 @@ def class_ids(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
+def sketches(hashes: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Of each row, the number of shingles by the first byte of their hash, in
+    units that let the largest fit a byte (rounded up), and the unit."""
+    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    counts = np.bincount(rows * COUNTS + (hashes >> U(56)).astype(np.int64),
+                         minlength=COUNTS * (len(offsets) - 1)).reshape(-1, COUNTS)
+    unit = np.maximum(-(-counts.max(1, initial=0) // 255), 1)
+    return [r.tobytes() for r in (-(-counts // unit[:, None])).astype(np.uint8)], unit.astype(np.int32)
+
+
+def unsketched(sketch, unit) -> np.ndarray:
+    """Upper bounds of the counts, a row each."""
+    flat = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, COUNTS)
+    return flat.astype(np.int32) * np.asarray(unit, np.int32)[:, None] if (np.asarray(unit) > 1).any() else flat
+
+
+def bounded(overlap: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether an overlap of at most ``overlap`` may link sets of these sizes."""
+    return (SHARED + JOINT) * overlap >= JOINT * (n + m)
+
+
 class _Summary:
     """Mergeable counts of frequent hashes (Misra-Gries)."""
 
@@ -91,12 +125,13 @@ class _Summary:
         self.keys, self.counts, self.waiting, self.held = keys, counts, [], 0
 
 
-SETS_SCHEMA = "doc_id bigint, version bigint, n bigint, a bigint, b bigint, frequent bigint, times bigint"
+SETS_SCHEMA = ("doc_id bigint, version bigint, n bigint, a bigint, b bigint, sketch binary, unit int, "
+               "frequent bigint, times bigint")
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """A row per document (size and class of its set) and, with a null n, rows
-    of the tasks' summaries of frequent shingles."""
+    """A row per document (size, class and sketch of its set) and, with a null n,
+    rows of the tasks' summaries of frequent shingles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary = _Summary()
@@ -106,38 +141,46 @@ def document_sets(docs: DataFrame) -> DataFrame:
                 n = len(offsets) - 1
                 a, b = class_ids(hashes, offsets)
                 summary.add(hashes)
+                sketch, unit = sketches(hashes, offsets)
                 none = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(row, n), batch.column("version").slice(row, n),
-                     pa.array(np.diff(offsets).astype(np.int64)), pa.array(a), pa.array(b), none, none], names=names)
+                     pa.array(np.diff(offsets).astype(np.int64)), pa.array(a), pa.array(b),
+                     pa.array(sketch, pa.binary()), pa.array(unit), none, none], names=names)
         summary.merge()
         often = summary.counts > 1
         for at in range(0, int(often.sum()), 1 << 16):
             keys = summary.keys[often][at:at + (1 << 16)].view(np.int64)
             none = pa.nulls(len(keys), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none] * 5 + [pa.array(keys), pa.array(summary.counts[often][at:at + (1 << 16)])], names=names)
+                [none] * 5 + [pa.nulls(len(keys), pa.binary()), pa.nulls(len(keys), pa.int32()), pa.array(keys),
+                              pa.array(summary.counts[often][at:at + (1 << 16)])], names=names)
 
     return docs.select("doc_id", "version", "text").mapInArrow(run, SETS_SCHEMA)
 
 
-def frequent_shingles(sets: DataFrame) -> np.ndarray:
-    """Hashes that many documents hold, in ascending order; MOST_FREQUENT at most."""
+def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that many documents hold, in ascending order, and about how many
+    hold each; MOST_FREQUENT at most."""
     counted = (sets.where("frequent is not null").groupBy("frequent").agg(F.sum("times").alias("times"))
-               .where(F.col("times") >= FREQUENT_DOCUMENTS).orderBy(F.desc("times"), "frequent").limit(MOST_FREQUENT))
-    return np.sort(counted.select("frequent").toPandas()["frequent"].to_numpy(np.int64).view(U))
+               .where(F.col("times") >= FREQUENT_DOCUMENTS).orderBy(F.desc("times"), "frequent")
+               .limit(MOST_FREQUENT).toPandas())
+    hashes = counted["frequent"].to_numpy(np.int64).view(U)
+    order = np.argsort(hashes)
+    return hashes[order], counted["times"].to_numpy(np.int64)[order]
 
 
-COLUMN_SCHEMA = "h bigint, a bigint, b bigint, n int"
+COLUMN_SCHEMA = "h bigint, salt int, cut boolean, a bigint, b bigint, n int, often int"
 
 
-def prefix_columns(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def prefix_columns(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """The incidence matrix's entries in prefixes: a row for each class and
-    shingle of its prefix. A task emits a class once."""
+    shingle of its prefix, with the number of the class's frequent shingles. A
+    task emits a class once; a very frequent shingle's column is salted (``cut``)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, seen = shared.value, set()
+        (often, times), seen = shared.value, set()
         for batch in batches:
             for _, hashes, offsets in shingle_sets(batch.column("text")):
                 n = np.diff(offsets)
@@ -155,20 +198,24 @@ def prefix_columns(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     continue
                 at = np.minimum(np.searchsorted(often, hashes), max(len(often) - 1, 0))
                 hot = often[at] == hashes if len(often) else np.zeros(len(hashes), bool)
+                n_hot = np.bincount(rows, weights=hot, minlength=len(n)).astype(np.int32)
+                salts = np.where(hot, 1 + times[at] // SALT_DOCUMENTS, 1) if len(often) else np.ones(len(hashes), int)
                 order = np.lexsort((hashes, hot, rows))
-                rows, hashes = rows[order], hashes[order]
+                rows, hashes, salts = rows[order], hashes[order], salts[order]
                 size = np.where(fresh, n, 0)
                 place = np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size)
                 keep = place <= n[rows] // 4
-                rows, hashes = rows[keep], hashes[keep]
+                rows, hashes, salts = rows[keep], hashes[keep], salts[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(a[rows]), pa.array(b[rows]),
-                     pa.array(n[rows].astype(np.int32))], names=["h", "a", "b", "n"])
+                    [pa.array(hashes.view(np.int64)), pa.array((a[rows] % salts).astype(np.int32)), pa.array(salts > 1),
+                     pa.array(a[rows]), pa.array(b[rows]), pa.array(n[rows].astype(np.int32)), pa.array(n_hot[rows])],
+                    names=[x.split()[0] for x in COLUMN_SCHEMA.split(", ")])
 
     return docs.select("text").mapInArrow(run, COLUMN_SCHEMA)
 
 
-PRODUCT_SCHEMA = "h bigint, a bigint, b bigint, n int, a2 bigint, b2 bigint, n2 int, shared int"
+PAIR = ["a", "b", "a2", "b2"]
+PRODUCT_SCHEMA = "h bigint, a bigint, b bigint, n int, a2 bigint, b2 bigint"
 _PRODUCT = [x.split()[0] for x in PRODUCT_SCHEMA.split(", ")]
 
 
@@ -184,27 +231,32 @@ def _gathered(batches: Iterable[pa.RecordBatch], names: list[str]) -> list[np.nd
     return [np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in table]) for c in names]
 
 
-def _pair_batches(a, b, n, left, right) -> Iterator[pa.RecordBatch]:
-    """Pairs of entries with the number of columns that gave them."""
+def _begins(*keys: np.ndarray) -> np.ndarray:
+    """Where a group of equal keys begins, in sorted arrays."""
+    fresh = np.zeros(len(keys[0]), bool)
+    fresh[:1] = True
+    for k in keys:
+        fresh[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _pair_batches(a, b, left, right) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of entries, the smaller class first."""
     swap = (a[left] > a[right]) | ((a[left] == a[right]) & (b[left] > b[right]))
     left, right = np.where(swap, right, left), np.where(swap, left, right)
     order = np.lexsort((b[right], a[right], b[left], a[left]))
     left, right = left[order], right[order]
-    if not len(left):
-        return
-    fresh = np.flatnonzero(np.concatenate([[True], (a[left][1:] != a[left][:-1]) | (b[left][1:] != b[left][:-1])
-                                           | (a[right][1:] != a[right][:-1]) | (b[right][1:] != b[right][:-1])]))
-    times = np.diff(np.append(fresh, len(left))).astype(np.int32)
+    fresh = _begins(a[left], b[left], a[right], b[right])
     left, right = left[fresh], right[fresh]
     for at in range(0, len(left), 1 << 16):
         i, j = left[at:at + (1 << 16)], right[at:at + (1 << 16)]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(i), pa.int64()), pa.array(a[i]), pa.array(b[i]), pa.array(n[i]), pa.array(a[j]),
-             pa.array(b[j]), pa.array(n[j]), pa.array(times[at:at + (1 << 16)])], names=_PRODUCT)
+            [pa.nulls(len(i), pa.int64()), pa.array(a[i]), pa.array(b[i]), pa.nulls(len(i), pa.int32()),
+             pa.array(a[j]), pa.array(b[j])], names=_PRODUCT)
 
 
 def _within(size: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs inside each of the groups that begin at ``begin``."""
+    """All pairs inside each of the short groups that begin at ``begin``."""
     lefts, rights = [], []
     for s in np.unique(size):
         at = begin[size == s]
@@ -216,65 +268,110 @@ def _within(size: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def block_product(columns: DataFrame) -> DataFrame:
-    """Candidate pairs of classes with their shared prefix entries, and (with a
-    column's hash in ``h``) the entries of columns whose pairs weren't all formed."""
+    """Candidate pairs of classes and, with a column's hash in ``h``, the entries
+    of columns whose pairs weren't all formed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches, ["h", "a", "b", "n"])
+        got = _gathered(batches, ["h", "salt", "cut", "a", "b", "n", "often"])
         if got is None:
             return
-        h, a, b, n = got
-        order = np.lexsort((b, a, h))
-        h, a, b, n = h[order], a[order], b[order], n[order]
-        fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        h, a, b, n = h[fresh], a[fresh], b[fresh], n[fresh]
-        begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        # sets of which one is at most 4/3 of the other have bands that differ by one at most
+        band = np.floor(np.log(got[5]) / np.log(SHARED / JOINT)).astype(np.int64)
+        order = np.lexsort((got[4], got[3], -got[6], band, got[1], got[0]))
+        h, salt, cut, a, b, n, _ = (x[order] for x in got)
+        band = band[order]
+        fresh = _begins(h, salt, a, b)
+        h, salt, cut, a, b, n, band = (x[fresh] for x in (h, salt, cut, a, b, n, band))
+        begin = _begins(h, salt)
         size = np.diff(np.append(begin, len(h)))
         few = (size > 1) & (size <= FULL_COLUMN)
         left, right = _within(size[few], begin[few])
-        many = size > FULL_COLUMN
-        rest = np.repeat(np.flatnonzero(many), size[many])
-        members = np.flatnonzero(np.repeat(many, size))
-        left = np.concatenate([left, begin[rest]])
-        right = np.concatenate([right, members])
+        lefts, rights = [left], [right]
+        long = np.repeat(size > FULL_COLUMN, size)
+        column = np.repeat(np.arange(len(begin)), size)
+        pivot = _begins(column, band)  # of a column's band, the class with the most frequent shingles
+        spot = column[pivot] * 4096 + band[pivot]
+        for step in (-1, 0, 1):
+            want = column * 4096 + band + step
+            at = np.minimum(np.searchsorted(spot, want), len(spot) - 1)
+            hit = np.flatnonzero(long & (spot[at] == want) & (band + step >= 0))
+            lefts.append(pivot[at[hit]])
+            rights.append(hit)
+        left, right = np.concatenate(lefts), np.concatenate(rights)
         allow = (left != right) & _sizes_allow(n[left], n[right])
-        yield from _pair_batches(a, b, n, left[allow], right[allow])
-        none = pa.nulls(1, pa.int64())
+        yield from _pair_batches(a, b, left[allow], right[allow])
+        members = np.flatnonzero(long | cut)
         for at in range(0, len(members), 1 << 16):
             m = members[at:at + (1 << 16)]
             none = pa.nulls(len(m), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[m]), pa.array(a[m]), pa.array(b[m]), pa.array(n[m]), none, none,
-                 pa.nulls(len(m), pa.int32()), pa.nulls(len(m), pa.int32())], names=_PRODUCT)
+            yield pa.RecordBatch.from_arrays([pa.array(h[m]), pa.array(a[m]), pa.array(b[m]), pa.array(n[m]), none, none],
+                                             names=_PRODUCT)
+
+    return columns.repartition("h", "salt").mapInArrow(run, PRODUCT_SCHEMA)
 
-    return columns.repartition("h").mapInArrow(run, PRODUCT_SCHEMA)
 
+def in_blocks(members: DataFrame) -> DataFrame:
+    """Entries of columns with classes of several components, dealt to blocks: an
+    entry's part of the column meets each part once, as row or column ``side``."""
+    mixed = (members.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("ra", "rb")).alias("low"),
+                                      F.max(F.struct("ra", "rb")).alias("high"))
+             .where("low <> high").select("h", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")))
+    own = F.pmod(F.xxhash64("b", "a"), F.col("parts")).cast("int")
+    return (members.join(mixed, "h").withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("h", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                    (F.col("own") > F.col("other")).alias("side"), "a", "b", "n", "ra", "rb", "sketch", "unit"))
 
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of a column's classes that lie in different components. ``members``
-    has h, a, b, n and the component's root (ra, rb)."""
+
+def cross_pairs(blocks: DataFrame) -> DataFrame:
+    """Pairs of a block's classes that lie in different components and may link
+    by their sizes and sketches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches, ["h", "a", "b", "n", "ra", "rb"])
+        got = _gathered(batches, ["h", "low", "high", "side", "n", "ra", "rb", "a", "b", "sketch", "unit"])
         if got is None:
             return
-        h, a, b, n, ra, rb = got
-        order = np.lexsort((b, a, rb, ra, h))
-        h, a, b, n, ra, rb = h[order], a[order], b[order], n[order], ra[order], rb[order]
-        new_column = np.concatenate([[True], h[1:] != h[:-1]])
-        group = np.cumsum(new_column | np.concatenate([[True], (ra[1:] != ra[:-1]) | (rb[1:] != rb[:-1])])) - 1
-        begin = np.flatnonzero(new_column)
-        stop = np.append(begin[1:], len(h))
-        group_end = np.searchsorted(group, group, "right")
-        # every entry is paired with those of its column that stand behind its component
-        column_end = np.repeat(stop, stop - begin)
-        behind = column_end - group_end
-        left = np.repeat(np.arange(len(h)), behind)
-        right = np.arange(len(left)) - np.repeat(np.cumsum(behind) - behind, behind) + np.repeat(group_end, behind)
-        allow = _sizes_allow(n[left], n[right])
-        yield from _pair_batches(a, b, n, left[allow], right[allow])
-
-    return members.repartition("h").mapInArrow(run, PRODUCT_SCHEMA)
+        order = np.lexsort((got[8], got[7], got[4], got[3], got[2], got[1], got[0]))
+        h, low, high, side, n, ra, rb, a, b, sketch, unit = (x[order] for x in got)
+        n = n.astype(np.int64)
+        begin = _begins(h, low, high)
+        lefts, rights = [], []
+        for start, stop in zip(begin, np.append(begin[1:], len(h)), strict=True):
+            middle = start + int(np.searchsorted(side[start:stop], True)) if low[start] != high[start] else start
+            counts = unsketched(sketch[start:stop].tolist(), unit[start:stop])
+            for i in range(start, middle if low[start] != high[start] else stop):
+                first = i + 1 if middle == start else middle
+                # sizes ascend: only a stretch of them allows a link
+                first += int(np.searchsorted(SHARED * n[first:stop], JOINT * n[i]))
+                last = first + int(np.searchsorted(JOINT * n[first:stop], SHARED * n[i], "right"))
+                j = np.arange(first, last)
+                j = j[(ra[j] != ra[i]) | (rb[j] != rb[i])]
+                if len(j):
+                    most = np.minimum(counts[j - start], counts[i - start]).sum(1, dtype=np.int64)
+                    j = j[bounded(most, n[j], n[i])]
+                    lefts.append(np.full(len(j), i))
+                    rights.append(j)
+        none = [np.zeros(0, np.int64)]
+        yield from _pair_batches(a, b, np.concatenate(lefts + none), np.concatenate(rights + none))
+
+    return blocks.repartition("h", "low", "high").mapInArrow(run, PRODUCT_SCHEMA).select(*PAIR)
+
+
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that may link by the sketches of their classes."""
+    one = classes.select("a", "b", "n", "sketch", "unit")
+    rows = pairs.join(one, ["a", "b"]).join(one.toDF("a2", "b2", "n2", "sketch2", "unit2"), ["a2", "b2"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n, m, unit, unit2 = (batch.column(c).to_numpy() for c in ("n", "n2", "unit", "unit2"))
+                most = np.minimum(unsketched(batch.column("sketch").to_pylist(), unit),
+                                  unsketched(batch.column("sketch2").to_pylist(), unit2)).sum(1, dtype=np.int64)
+                yield batch.select(PAIR).filter(pa.array(bounded(most, n, m)))
+
+    return rows.select(*PAIR, "n", "sketch", "unit", "n2", "sketch2", "unit2").mapInArrow(
+        run, ", ".join(f"{c} bigint" for c in PAIR))
 
 
 def class_sets(docs: DataFrame) -> DataFrame:
@@ -292,8 +389,17 @@ def class_sets(docs: DataFrame) -> DataFrame:
     return docs.select("a", "b", "text").mapInArrow(run, "a bigint, b bigint, set binary")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose whole sets link."""
+def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose whole sets link. Each class's set is made from one
+    document of it."""
+    wanted = pairs.select("a", "b").unionByName(pairs.select(F.col("a2").alias("a"), F.col("b2").alias("b"))).distinct()
+    chosen = stored(wanted.join(classes, ["a", "b"]).select(
+        "a", "b", F.col("least.doc_id").alias("its_id"), F.col("least.version").alias("its_version")), "chosen")
+    if chosen.count() <= BROADCAST_CLASSES:
+        chosen = F.broadcast(chosen)
+    sets = class_sets(docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("its_id"))
+                                & (F.col("version") == F.col("its_version"))))
+    sets = stored(sets, "sets")
     other = sets.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("set").alias("set2"))
     rows = pairs.join(other, ["a2", "b2"]).join(sets, ["a", "b"])
 
@@ -306,10 +412,10 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 shared = int((large[at] == small).sum())
                 keep.append(SHARED * shared >= JOINT * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("a", "b", "a2", "b2")], names=["a", "b", "a2", "b2"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(PAIR).filter(pa.array(keep, pa.bool_()))
 
-    return rows.select("a", "b", "a2", "b2", "set", "set2").mapInArrow(run, "a bigint, b bigint, a2 bigint, b2 bigint")
+    # repeated rows of a document give its set twice
+    return rows.select(*PAIR, "set", "set2").mapInArrow(run, ", ".join(f"{c} bigint" for c in PAIR)).distinct()
 
 
 def _edges(links: DataFrame) -> DataFrame:
@@ -337,26 +443,18 @@ def components(docs: DataFrame) -> DataFrame:
     frequent = frequent_shingles(sets)
     rows = sets.where("n is not null").drop("frequent", "times")
     classes = stored(rows.where("n > 0").groupBy("a", "b").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("least")), "classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("least"),
+        F.max("n").alias("n"), F.max("sketch").alias("sketch"), F.max("unit").alias("unit")), "classes")
     product = stored(block_product(prefix_columns(docs, frequent)), "product")
-    key = ["a", "b", "a2", "b2"]
-    pairs = stored(product.where("h is null").select(*key).distinct(), "pairs")
-    # one document of every class that is in a pair or in a long column
-    wanted = (pairs.select("a", "b").unionByName(pairs.select(F.col("a2").alias("a"), F.col("b2").alias("b")))
-              .unionByName(product.where("h is not null").select("a", "b")).distinct())
-    chosen = (wanted.join(classes, ["a", "b"])
-              .select("a", "b", F.col("least.doc_id").alias("its_id"), F.col("least.version").alias("its_version")))
-    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("version") == F.col("its_version")))
-    whole = stored(class_sets(texts).dropDuplicates(["a", "b"]), "sets")
-    links = stored(linked(pairs, whole), "links")
+    pairs = stored(product.where("h is null").select(*PAIR).distinct(), "pairs")
+    links = stored(linked(stored(plausible(pairs, classes), "plausible"), classes, docs), "links")
     found = _flat(roots(_edges(links)))
-    members = (product.where("h is not null").select("h", "a", "b", "n").join(found, ["a", "b"], "left")
-               .select("h", "a", "b", "n", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")))
-    mixed = (members.groupBy("h").agg(F.min(F.struct("ra", "rb")).alias("low"), F.max(F.struct("ra", "rb")).alias("high"))
-             .where("low <> high").select("h"))
-    cross = cross_pairs(members.join(mixed, "h", "left_semi")).select(*key).distinct().join(pairs, key, "left_anti")
-    later = stored(linked(cross, whole), "links")
-    if not later.isEmpty():
+    members = (product.where("h is not null").select("h", "a", "b").distinct()
+               .join(classes.select("a", "b", "n", "sketch", "unit"), ["a", "b"]).join(found, ["a", "b"], "left")
+               .select("h", "a", "b", "n", "sketch", "unit", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")))
+    cross = stored(cross_pairs(in_blocks(members)).distinct().join(pairs, PAIR, "left_anti"), "cross")
+    if not cross.isEmpty():
+        later = stored(linked(cross, classes, docs), "links")
         found = _flat(roots(_edges(links.unionByName(later))))
     found = stored(classes.join(found, ["a", "b"], "left").select(
         "a", "b", "least", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")), "roots")
@@ -364,7 +462,7 @@ def components(docs: DataFrame) -> DataFrame:
     named = found.join(smallest, ["ra", "rb"]).select("a", "b", "smallest")
     own = rows.where("n = 0").select("doc_id", "version", F.col("n").alias("n_shingles"),
                                      F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
-    return rows.where("n > 0").join(named, ["a", "b"]).select(
+    return rows.where("n > 0").drop("sketch", "unit").join(named, ["a", "b"]).select(
         "doc_id", "version", F.col("n").alias("n_shingles"), F.col("smallest.doc_id").alias("component_id"),
         (F.col("doc_id").eqNullSafe(F.col("smallest.doc_id")) & (F.col("version") == F.col("smallest.version"))).alias("first"),
     ).unionByName(own)
