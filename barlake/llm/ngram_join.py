@@ -14,7 +14,7 @@ pairs are verified and components known, pairs of long columns are formed across
 components, which leaves out no link that could join two components. Columns
 are cut into square blocks of classes for that.
 
-Sizes, and counts of shingles by the first byte of their hash, bound the overlap
+Sizes, and counts of shingles by the first bits of their hash, bound the overlap
 of a pair from above; pairs below the bound go before any set is read. What is
 left is verified by exact counting on both whole sets.
 """
@@ -47,8 +47,9 @@ SUMMARY, MOST_FREQUENT, FREQUENT_DOCUMENTS = 1 << 17, 1 << 21, 12
 SALT_DOCUMENTS = 4096
 #: Classes to verify whose ids are broadcast at most; more are joined by shuffle.
 BROADCAST_CLASSES = 200_000
-#: Counts in a sketch.
-COUNTS = 256
+#: Counts in a coarse sketch. A set with more than PER_COUNT shingles for each has
+#: a fine one besides, with twice as many counts as often as it takes.
+COUNTS, PER_COUNT = 256, 8
 
 U = np.uint64
 
@@ -76,20 +77,41 @@ def class_ids(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
-def sketches(hashes: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Of each row, the number of shingles by the first byte of their hash, in
-    units that let the largest fit a byte (rounded up), and the unit."""
-    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    counts = np.bincount(rows * COUNTS + (hashes >> U(56)).astype(np.int64),
-                         minlength=COUNTS * (len(offsets) - 1)).reshape(-1, COUNTS)
-    unit = np.maximum(-(-counts.max(1, initial=0) // 255), 1)
-    return [r.tobytes() for r in (-(-counts // unit[:, None])).astype(np.uint8)], unit.astype(np.int32)
+def _counted(hashes: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount((hashes >> U(64 - (size.bit_length() - 1))).astype(np.int64), minlength=size)
 
 
-def unsketched(sketch, unit) -> np.ndarray:
-    """Upper bounds of the counts, a row each."""
-    flat = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, COUNTS)
-    return flat.astype(np.int32) * np.asarray(unit, np.int32)[:, None] if (np.asarray(unit) > 1).any() else flat
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in units that let the largest fit a byte, rounded up; the unit goes first."""
+    unit = max(-(-int(counts.max()) // 255), 1)
+    return unit.to_bytes(4, "little") + (-(-counts // unit)).astype(np.uint8).tobytes()
+
+
+def sketches(hashes: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[bytes | None]]:
+    """Coarse sketch of each row's set, and the fine one of a large set."""
+    n = np.diff(offsets)
+    rows = np.repeat(np.arange(len(n)), n)
+    counts = np.bincount(rows * COUNTS + (hashes >> U(56)).astype(np.int64), minlength=COUNTS * len(n)).reshape(-1, COUNTS)
+    fine: list[bytes | None] = [None] * len(n)
+    for i in np.flatnonzero(n > COUNTS * PER_COUNT):
+        size = COUNTS
+        while n[i] > size * PER_COUNT:
+            size *= 2
+        fine[i] = _packed(_counted(hashes[offsets[i]:offsets[i + 1]], size))
+    return [_packed(c) for c in counts], fine
+
+
+def unpacked(sketch: bytes) -> np.ndarray:
+    """Upper bounds of the counts."""
+    return np.frombuffer(sketch, np.uint8, offset=4).astype(np.int64) * int.from_bytes(sketch[:4], "little")
+
+
+def most_shared(sketch: bytes, other: bytes) -> int:
+    """Upper bound of the overlap of two sets; the finer sketch is folded to the other's size."""
+    x, y = unpacked(sketch), unpacked(other)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.minimum(x.reshape(len(y), -1).sum(1), y).sum())
 
 
 def bounded(overlap: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -125,7 +147,7 @@ class _Summary:
         self.keys, self.counts, self.waiting, self.held = keys, counts, [], 0
 
 
-SETS_SCHEMA = ("doc_id bigint, version bigint, n bigint, a bigint, b bigint, sketch binary, unit int, "
+SETS_SCHEMA = ("doc_id bigint, version bigint, n bigint, a bigint, b bigint, coarse binary, fine binary, "
                "frequent bigint, times bigint")
 
 
@@ -141,19 +163,19 @@ def document_sets(docs: DataFrame) -> DataFrame:
                 n = len(offsets) - 1
                 a, b = class_ids(hashes, offsets)
                 summary.add(hashes)
-                sketch, unit = sketches(hashes, offsets)
+                coarse, fine = sketches(hashes, offsets)
                 none = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(row, n), batch.column("version").slice(row, n),
                      pa.array(np.diff(offsets).astype(np.int64)), pa.array(a), pa.array(b),
-                     pa.array(sketch, pa.binary()), pa.array(unit), none, none], names=names)
+                     pa.array(coarse, pa.binary()), pa.array(fine, pa.binary()), none, none], names=names)
         summary.merge()
         often = summary.counts > 1
         for at in range(0, int(often.sum()), 1 << 16):
             keys = summary.keys[often][at:at + (1 << 16)].view(np.int64)
             none = pa.nulls(len(keys), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none] * 5 + [pa.nulls(len(keys), pa.binary()), pa.nulls(len(keys), pa.int32()), pa.array(keys),
+                [none] * 5 + [pa.nulls(len(keys), pa.binary()), pa.nulls(len(keys), pa.binary()), pa.array(keys),
                               pa.array(summary.counts[often][at:at + (1 << 16)])], names=names)
 
     return docs.select("doc_id", "version", "text").mapInArrow(run, SETS_SCHEMA)
@@ -320,7 +342,7 @@ def in_blocks(members: DataFrame) -> DataFrame:
     return (members.join(mixed, "h").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("h", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                    (F.col("own") > F.col("other")).alias("side"), "a", "b", "n", "ra", "rb", "sketch", "unit"))
+                    (F.col("own") > F.col("other")).alias("side"), "a", "b", "n", "ra", "rb", "coarse"))
 
 
 def cross_pairs(blocks: DataFrame) -> DataFrame:
@@ -328,17 +350,17 @@ def cross_pairs(blocks: DataFrame) -> DataFrame:
     by their sizes and sketches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches, ["h", "low", "high", "side", "n", "ra", "rb", "a", "b", "sketch", "unit"])
+        got = _gathered(batches, ["h", "low", "high", "side", "n", "ra", "rb", "a", "b", "coarse"])
         if got is None:
             return
         order = np.lexsort((got[8], got[7], got[4], got[3], got[2], got[1], got[0]))
-        h, low, high, side, n, ra, rb, a, b, sketch, unit = (x[order] for x in got)
+        h, low, high, side, n, ra, rb, a, b, coarse = (x[order] for x in got)
         n = n.astype(np.int64)
         begin = _begins(h, low, high)
         lefts, rights = [], []
         for start, stop in zip(begin, np.append(begin[1:], len(h)), strict=True):
             middle = start + int(np.searchsorted(side[start:stop], True)) if low[start] != high[start] else start
-            counts = unsketched(sketch[start:stop].tolist(), unit[start:stop])
+            counts = np.array([unpacked(c) for c in coarse[start:stop]]).astype(np.int32)
             for i in range(start, middle if low[start] != high[start] else stop):
                 first = i + 1 if middle == start else middle
                 # sizes ascend: only a stretch of them allows a link
@@ -358,20 +380,18 @@ def cross_pairs(blocks: DataFrame) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs that may link by the sketches of their classes."""
-    one = classes.select("a", "b", "n", "sketch", "unit")
-    rows = pairs.join(one, ["a", "b"]).join(one.toDF("a2", "b2", "n2", "sketch2", "unit2"), ["a2", "b2"])
+    """The pairs that may link by the finest sketches of their classes."""
+    one = classes.select("a", "b", "n", F.coalesce("fine", "coarse").alias("sketch"))
+    rows = pairs.join(one, ["a", "b"]).join(one.toDF("a2", "b2", "n2", "sketch2"), ["a2", "b2"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                n, m, unit, unit2 = (batch.column(c).to_numpy() for c in ("n", "n2", "unit", "unit2"))
-                most = np.minimum(unsketched(batch.column("sketch").to_pylist(), unit),
-                                  unsketched(batch.column("sketch2").to_pylist(), unit2)).sum(1, dtype=np.int64)
-                yield batch.select(PAIR).filter(pa.array(bounded(most, n, m)))
+            n, m = (batch.column(c).to_numpy() for c in ("n", "n2"))
+            most = [most_shared(x, y) for x, y in zip(batch.column("sketch").to_pylist(),
+                                                      batch.column("sketch2").to_pylist(), strict=True)]
+            yield batch.select(PAIR).filter(pa.array(bounded(np.array(most, np.int64), n, m), pa.bool_()))
 
-    return rows.select(*PAIR, "n", "sketch", "unit", "n2", "sketch2", "unit2").mapInArrow(
-        run, ", ".join(f"{c} bigint" for c in PAIR))
+    return rows.select(*PAIR, "n", "sketch", "n2", "sketch2").mapInArrow(run, ", ".join(f"{c} bigint" for c in PAIR))
 
 
 def class_sets(docs: DataFrame) -> DataFrame:
@@ -444,17 +464,17 @@ def components(docs: DataFrame) -> DataFrame:
     rows = sets.where("n is not null").drop("frequent", "times")
     classes = stored(rows.where("n > 0").groupBy("a", "b").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("least"),
-        F.max("n").alias("n"), F.max("sketch").alias("sketch"), F.max("unit").alias("unit")), "classes")
+        F.max("n").alias("n"), F.max("coarse").alias("coarse"), F.max("fine").alias("fine")), "classes")
     product = stored(block_product(prefix_columns(docs, frequent)), "product")
     pairs = stored(product.where("h is null").select(*PAIR).distinct(), "pairs")
     links = stored(linked(stored(plausible(pairs, classes), "plausible"), classes, docs), "links")
     found = _flat(roots(_edges(links)))
     members = (product.where("h is not null").select("h", "a", "b").distinct()
-               .join(classes.select("a", "b", "n", "sketch", "unit"), ["a", "b"]).join(found, ["a", "b"], "left")
-               .select("h", "a", "b", "n", "sketch", "unit", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")))
+               .join(classes.select("a", "b", "n", "coarse"), ["a", "b"]).join(found, ["a", "b"], "left")
+               .select("h", "a", "b", "n", "coarse", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")))
     cross = stored(cross_pairs(in_blocks(members)).distinct().join(pairs, PAIR, "left_anti"), "cross")
     if not cross.isEmpty():
-        later = stored(linked(cross, classes, docs), "links")
+        later = stored(linked(stored(plausible(cross, classes), "plausible"), classes, docs), "links")
         found = _flat(roots(_edges(links.unionByName(later))))
     found = stored(classes.join(found, ["a", "b"], "left").select(
         "a", "b", "least", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")), "roots")
@@ -462,7 +482,7 @@ def components(docs: DataFrame) -> DataFrame:
     named = found.join(smallest, ["ra", "rb"]).select("a", "b", "smallest")
     own = rows.where("n = 0").select("doc_id", "version", F.col("n").alias("n_shingles"),
                                      F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
-    return rows.where("n > 0").drop("sketch", "unit").join(named, ["a", "b"]).select(
+    return rows.where("n > 0").drop("coarse", "fine").join(named, ["a", "b"]).select(
         "doc_id", "version", F.col("n").alias("n_shingles"), F.col("smallest.doc_id").alias("component_id"),
         (F.col("doc_id").eqNullSafe(F.col("smallest.doc_id")) & (F.col("version") == F.col("smallest.version"))).alias("first"),
     ).unionByName(own)

@@ -281,6 +281,21 @@ def test_ngram_join_chain(spark):
     assert components_of(spark, rows) == slow_components(rows)
 
 
+def test_sketches_bound_the_overlap():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 3, 500, 3_000, 9_000, 200_000):
+        x = np.unique(rng.integers(1, 1 << 63, size).astype(np.uint64) * np.uint64(2))
+        y = np.unique(np.concatenate([x[::3], rng.integers(1, 1 << 63, size // 2 + 1).astype(np.uint64)]))
+        (coarse, _), (fine, fine2) = ngram_join.sketches(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]))
+        other = ngram_join.sketches(y, np.array([0, len(y)]))[0][0]
+        shared = len(np.intersect1d(x, y))
+        assert shared <= ngram_join.most_shared(fine or coarse, fine2 or other) and shared <= ngram_join.most_shared(fine or coarse, other)
+        assert ngram_join.most_shared(fine or coarse, fine or coarse) >= len(x)
+    far = [np.unique(rng.integers(1, 1 << 63, 9_000).astype(np.uint64) * np.uint64(2)) for _ in (0, 1)]
+    _, fine = ngram_join.sketches(np.concatenate(far), np.array([0, len(far[0]), sum(map(len, far))]))
+    assert ngram_join.most_shared(*fine) < 0.857 * len(far[0])
+
+
 def test_summary_keeps_frequent_hashes(monkeypatch):
     monkeypatch.setattr(ngram_join, "SUMMARY", 50)
     rng = np.random.default_rng(2)
