@@ -13,19 +13,22 @@ import sys
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from barlake.functions.exprs import is_valid_ticker, parse_number  # noqa: E402
+from barlake.functions.exprs import is_valid_ticker, parse_number, round_places  # noqa: E402
 from barlake.operators import bronze as bronze_ops  # noqa: E402
-from barlake.operators import checks, contracts, gold as gold_ops  # noqa: E402
+from barlake.operators import checks, contracts, gold as gold_ops, silver as silver_ops  # noqa: E402
+from barlake.operators.bi import top_symbols_last_dates  # noqa: E402
+from barlake.operators.warehouse import fact_monthly  # noqa: E402
 from barlake.plans.lakehouse import FIXTURE_WINDOW, Lakehouse  # noqa: E402
+from barlake.plans.medallion import MedallionConfig, run_medallion  # noqa: E402
 from barlake.session import checkpoint_dir, fresh_path  # noqa: E402
-from barlake.sinks import tables  # noqa: E402
+from barlake.sinks import layers, tables  # noqa: E402
 
 try:  # the text operators are an optional part
     from barlake.llm.registry import ORACLE_SQL as TEXT_SQL
@@ -88,10 +91,13 @@ def q_universe_semi_join(spark, d):
 
 
 def q_silver_bad_dates(spark, d):
-    raw = bronze_ops.with_trading_date(_lh(spark, d).raw)
-    return (raw.where(F.col("trading_date").isNull())
-               .groupBy(F.coalesce(F.col("time"), F.lit("None")).alias("value"))
-               .agg(F.count(F.lit(1)).alias("rows")))
+    """Texts the silver operator can't read a day from: it maps them to a null
+    day, which its own row rule would drop."""
+    raw = _lh(spark, d).raw
+    days = silver_ops.with_trading_day(raw, on_bad_date="null")
+    return (days.where(F.col("trading_date").isNull())
+                .groupBy(F.coalesce(F.col("time"), F.lit("None")).alias("value"))
+                .agg(F.count(F.lit(1)).alias("rows")))
 
 
 def q_silver_clean(spark, d):
@@ -147,11 +153,15 @@ def q_dim_symbol(spark, d):
 
 
 def q_dim_date(spark, d):
-    lh = _lh(spark, d)
-    used = lh.fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"))
-    return (lh.dim_date.join(used, "date_key", "left")
-              .withColumn("fact_rows", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint"))
-              .drop("_n"))
+    """The calendar, with the landed line items of each day (ship days moved as
+    the landing mapping moves them)."""
+    from barlake.sources.landing import DATE_SHIFT_MONTHS, read_table
+    day = F.add_months(F.to_date("l_shipdate"), DATE_SHIFT_MONTHS)
+    landed = (read_table(spark, d, "lineitem").groupBy(day.alias("date_key"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    return (_lh(spark, d).dim_date.join(landed, "date_key", "left")
+            .withColumn("landed_rows", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint"))
+            .drop("_n"))
 
 
 def q_fact_daily(spark, d):
@@ -234,28 +244,87 @@ def q_bronze_json_rows(spark, d):
 def q_bronze_manifest(spark, d):
     lh = _lh(spark, d)
     path = fresh_path(spark, "bronze")
-    frame = lh.bronze.drop("ingest_seq").withColumn("data_date", F.col("trading_date"))
-    tables.write_partitioned(frame.drop("trading_date"), path, "data_date", fmt="json")
-    return tables.partition_manifest(spark, path, "data_date", fmt="json")
+    frame = lh.bronze.drop("ingest_seq")
+    layers.save_bronze(frame, path, lh.run_date, fmt="json")
+    text = frame.select(*[F.col(f.name).cast("string" if f.name == "trading_date" else f.dataType)
+                          for f in frame.schema.fields]).schema
+    return tables.partition_manifest(spark, path, "data_date", fmt="json", schema=text.add("data_date", "date").add(
+        layers.VENUE, "string"))
 
 
 def q_silver_manifest(spark, d):
     lh = _lh(spark, d)
     path = fresh_path(spark, "silver")
-    tables.write_partitioned(lh.silver.drop("ingest_seq"), path, "trading_date",
-                             required_columns=["trading_date", "symbol"])
+    layers.save_silver(lh.silver.drop("ingest_seq"), path, lh.run_date)
     return tables.partition_manifest(spark, path, "trading_date")
 
 
 def q_gold_manifest(spark, d):
     lh = _lh(spark, d)
     path = fresh_path(spark, "gold")
-    tables.write_partitioned(gold_ops.sort_for_write(lh.gold), path, "trading_date",
-                             required_columns=["symbol", "trading_date", "close_price", "volume"])
+    layers.save_gold(lh.gold, path, run_date=lh.run_date)
     return (tables.read_layer(spark, path).groupBy("trading_date")
                   .agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").cast("bigint").alias("volume")))
 
 
+def q_written_keys(spark, d):
+    """The (day, venue) partitions that the gold sink reports to have written."""
+    lh = _lh(spark, d)
+    result = layers.save_gold(lh.gold, fresh_path(spark, "gold"), run_date=lh.run_date)
+    return spark.createDataFrame(result["keys"], "trading_date string, venue string")
+
+
+def q_gold_incremental(spark, d):
+    """Gold written by the job in two runs over adjoining windows, the second
+    venue by venue: equal to one rebuild."""
+    root = fresh_path(spark, "medallion")
+    raw = _lh(spark, d).raw
+    windows = [(FIXTURE_WINDOW[0], "2018-06-30", None), ("2018-07-01", FIXTURE_WINDOW[1], ["HOSE"]),
+               ("2018-07-01", FIXTURE_WINDOW[1], ["HNX"])]
+    for start, end, venues in windows:
+        run_medallion(spark, raw, MedallionConfig(lake_root=root, start_date=start, end_date=end, exchanges=venues,
+                                                  strict=False, price_decimals=2))
+    return (tables.read_layer(spark, f"{root}/gold").where("exchange in ('HOSE', 'HNX')")
+            .select(*gold_ops.GOLD_COLUMNS))
+
+
+# -- averages of plain doubles, as SQL's AVG gives them ----------------------
+
+def _plain(spark, d):
+    return _lh(spark, d, price_decimals=None)
+
+
+def q_gold_plain(column):
+    def run(spark, d):
+        lh = _plain(spark, d)
+        features = gold_ops.daily_features(gold_ops.deduplicated(lh.silver))
+        return features.select("symbol", "exchange", "trading_date", round_places(F.col(column), 6).alias(column))
+    return run
+
+
+def q_fact_monthly_plain(spark, d):
+    lh = _plain(spark, d)
+    return fact_monthly(lh.fact, lh.dim_date, places=6)
+
+
+def q_top_symbols_plain(spark, d):
+    lh = _plain(spark, d)
+    return top_symbols_last_dates(lh.fact, lh.dim_date, lh.dim_symbol, places=6)
+
+
+def q_bi_volume_top(spark, d):
+    """The ordered report's first five rows, with their places."""
+    rows = _lh(spark, d).volume_by_exchange_year(top_n=5)
+    place = Window.orderBy(F.col("total_volume").desc(), "year", "exchange")  # five rows
+    return rows.withColumn("place", F.row_number().over(place).cast("bigint"))
+
+
+def q_contract_broken(spark, d):
+    """The silver contract over a silver frame with seeded faults of each kind."""
+    bad = checks.broken_silver(_lh(spark, d).silver)
+    return contracts.contract_report(bad, contracts.SILVER_CONTRACT)
+
+
 def _metric_query(build):
     def run(spark, d):
         lh = _lh(spark, d)
@@ -312,6 +381,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_manifest": q_bronze_manifest,
         "silver_manifest": q_silver_manifest,
         "gold_manifest": q_gold_manifest,
+        "written_keys": q_written_keys,
+        "gold_incremental": q_gold_incremental,
+        "gold_ma_5_plain": q_gold_plain("ma_5"),
+        "gold_ma_20_plain": q_gold_plain("ma_20"),
+        "fact_monthly_plain": q_fact_monthly_plain,
+        "bi_top_symbols_30d_plain": q_top_symbols_plain,
+        "bi_volume_top_5": q_bi_volume_top,
+        "contract_report_broken": q_contract_broken,
         **TEXT_QUERIES,
     }
 

@@ -22,24 +22,25 @@ NUMBER_PATTERN = (
     r"(?i)\A\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*\z"
     r"|\A[+-]?inf(inity)?\z"
 )
-# ISO day, optionally followed by a time of day: parsed by a plain cast.
-ISO_DAY_PATTERN = r"\A\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?\z"
-# Optional extra text layouts (opt-in via ``formats=``) tried in order when
-# the text is not ISO; the default is ISO only, which keeps the parse a cheap
-# cast inside the pushed-down scan filter.
-EXTRA_DATE_FORMATS = (
-    "yyyy/MM/dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "MM/dd/yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-)
+# A time of day with an optional zone may follow a day; the day is the written
+# one, whatever the zone.
+_TIME_OF_DAY = r"([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?)?"
+# Declared day layouts: text pattern -> the groups that hold year, month, day.
+DATE_LAYOUTS = {
+    r"\A(\d{4})-(\d{1,2})-(\d{1,2})" + _TIME_OF_DAY + r"\z": (1, 2, 3),
+    r"\A(\d{4})/(\d{1,2})/(\d{1,2})" + _TIME_OF_DAY + r"\z": (1, 2, 3),
+    r"\A(\d{4})(\d{2})(\d{2})\z": (1, 2, 3),
+    r"\A(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME_OF_DAY + r"\z": (3, 1, 2),
+}
+# Further ``to_timestamp`` formats tried when no layout fits (``formats=``).
 DATE_FORMATS: tuple[str, ...] = ()
 # Window-bound text format accepted by the bronze reader.
 WINDOW_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 # ---------------------------------------------------------------------------
 
-# ASCII whitespace removed from both ends by strip()
-_BLANKS = " \t\n\r\f\u000b"
+# Blanks removed from both ends by strip(): those of Unicode
+_BLANKS = (" \t\n\r\f\u000b\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+           "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 NUMERIC_TYPES = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType,
@@ -51,13 +52,17 @@ TEMPORAL_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 STRING_TYPES = (T.StringType, T.VarcharType, T.CharType)
 
 
+def first_present(df: DataFrame, names: Sequence[str]) -> str | None:
+    """The first of ``names`` that is a column of ``df``."""
+    return next((n for n in names if n in df.columns), None)
+
+
 def col_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
 def strip(c: Column) -> Column:
-    """Trim blanks (space, tab, newline, CR, FF, VT) on both ends; Spark's
-    ``trim`` removes spaces only."""
+    """Trim blanks of any kind on both ends; Spark's ``trim`` removes spaces only."""
     return F.btrim(c, F.lit(_BLANKS))
 
 
@@ -89,22 +94,26 @@ def parse_number(df: DataFrame, name: str) -> Column:
         return nan_to_null(c.cast("double"))
     if isinstance(dtype, T.BooleanType):
         return c.cast("double")
+    return lenient_number(c)
+
+
+def lenient_number(c: Column) -> Column:
+    """Number of a text of ``NUMBER_PATTERN``, else null."""
     text = c.cast("string")
-    return nan_to_null(
-        F.when(text.rlike(NUMBER_PATTERN), strip(text).try_cast("double"))
-    )
+    return nan_to_null(F.when(text.rlike(NUMBER_PATTERN), strip(text).try_cast("double")))
 
 
 def parse_text_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Day of a text date/time, null when unparseable.
-
-    ISO text takes the cheap cast path (time of day truncated); other layouts
-    are tried in order only for non-ISO text (``coalesce`` is lazy).
-    """
+    """Day of a text date/time, null when unparseable. The declared layouts are
+    told apart by pattern, so at most one of them is parsed; ``formats`` are
+    tried in order for other texts (``coalesce`` is lazy)."""
     stripped = strip(text)
-    iso = F.when(stripped.rlike(ISO_DAY_PATTERN), stripped.try_cast("date"))
+    day = None
+    for pattern, groups in DATE_LAYOUTS.items():
+        parts = F.concat_ws("-", *[F.regexp_extract(stripped, pattern, g) for g in groups]).try_cast("date")
+        day = F.when(stripped.rlike(pattern), parts) if day is None else day.when(stripped.rlike(pattern), parts)
     others = [F.to_date(F.try_to_timestamp(stripped, F.lit(fmt))) for fmt in formats]
-    return F.coalesce(iso, *others) if others else iso
+    return F.coalesce(day, *others) if others else day
 
 
 def parse_date(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -129,9 +138,17 @@ def round_places(x: Column, places: int) -> Column:
     return F.round(x * F.lit(scale)) / F.lit(scale)
 
 
-def to_units(x: Column, decimals: int) -> Column:
-    """Fixed-point view of a double: integer count of ``10^-decimals``."""
-    return F.round(x * F.lit(float(10 ** decimals))).cast("bigint")
+def to_units(x: Column, decimals: int, *, exact: bool = False) -> Column:
+    """Fixed-point view of a double: integer count of ``10^-decimals``.
+    ``exact`` fails on a value that has more decimals, or is infinite, instead
+    of rounding it."""
+    scaled = x * F.lit(float(10 ** decimals))
+    units = F.round(scaled)
+    if exact:
+        fits = (F.abs(units) < F.lit(9e15)) & (F.abs(scaled - units) <= F.lit(1e-9) * F.greatest(F.abs(units), F.lit(1.0)))
+        units = F.when(x.isNull() | fits, units).otherwise(F.raise_error(F.concat(
+            F.lit(f"price does not fit {decimals} decimals: "), x.cast("string"))).cast("double"))
+    return units.cast("bigint")
 
 
 def units_mean_rounded(sum_units: Column, count: Column, unit_decimals: int,

@@ -33,20 +33,20 @@ def volume_by_exchange_year(fact: DataFrame, dates: DataFrame, symbols: DataFram
     return ordered.limit(top_n) if top_n else ordered
 
 
-def _avg_close(sum_col, cnt_col, price_decimals):
+def _avg_close(sum_col, cnt_col, price_decimals, places=AVG_PLACES):
     if price_decimals is None:
-        return round_places(F.col(sum_col) / F.col(cnt_col), AVG_PLACES)
+        return round_places(F.col(sum_col) / F.col(cnt_col), places)
     return units_mean_rounded(F.col(sum_col), F.col(cnt_col), price_decimals, AVG_PLACES)
 
 
 def _close_sum(price_decimals):
     c = F.col("close_price")
-    return F.sum(c if price_decimals is None else to_units(c, price_decimals))
+    return F.sum(c if price_decimals is None else to_units(c, price_decimals, exact=True))
 
 
 def top_symbols_last_dates(fact: DataFrame, dates: DataFrame, symbols: DataFrame, *,
-                           n_dates: int = 30, k: int = 10,
-                           price_decimals: int | None = None) -> DataFrame:
+                           n_dates: int = 30, k: int = 10, price_decimals: int | None = None,
+                           places: int = AVG_PLACES) -> DataFrame:
     """Top-k (exchange, symbol) by average close over the ``n_dates`` newest
     calendar days on or before the latest fact day.
 
@@ -59,13 +59,16 @@ def top_symbols_last_dates(fact: DataFrame, dates: DataFrame, symbols: DataFrame
                    .where(F.col("date_key") <= latest)
                    .orderBy(F.col("date_key").desc())
                    .limit(n_dates))
-    per_key = (fact.join(F.broadcast(recent), "date_key", "left_semi")
+    # the calendar has every day, so its n newest ones reach back n - 1 days; the
+    # bound keeps older files of a fact stored by month unread
+    bounded = fact.where(F.col("date_key") >= F.date_sub(latest, n_dates - 1))
+    per_key = (bounded.join(F.broadcast(recent), "date_key", "left_semi")
                    .groupBy("symbol_key")
                    .agg(_close_sum(price_decimals).alias("_s"),
                         F.count("close_price").alias("_n")))
     out = (per_key.join(symbols, "symbol_key")
                   .select("exchange", "symbol",
-                          _avg_close("_s", "_n", price_decimals).alias("avg_close_30d")))
+                          _avg_close("_s", "_n", price_decimals, places).alias("avg_close_30d")))
     return out.orderBy(F.col("avg_close_30d").desc_nulls_last(), "exchange", "symbol").limit(k)
 
 

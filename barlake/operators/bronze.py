@@ -12,11 +12,11 @@ import datetime as dt
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barlake.functions.exprs import (
-    DATE_FORMATS, WINDOW_DATE_PATTERN, is_valid_ticker, parse_date, strip_upper,
+    DATE_FORMATS, WINDOW_DATE_PATTERN, first_present, is_valid_ticker, parse_date, strip_upper,
 )
 
 # --- fixed values ------------------------------------------------------------
@@ -35,25 +35,25 @@ def normalize_window_date(value: str | dt.date | None) -> str | None:
     if isinstance(value, dt.date):
         return value.isoformat()
     if not isinstance(value, str) or not re.match(WINDOW_DATE_PATTERN, value):
-        raise ValueError(f"Invalid date format (expected YYYY-MM-DD): {value}")
+        raise ValueError(f"window bound {value!r} is not written YYYY-MM-DD")
     try:
         return dt.date.fromisoformat(value).isoformat()
     except ValueError as exc:
-        raise ValueError(f"Invalid date format (expected YYYY-MM-DD): {value}") from exc
+        raise ValueError(f"window bound {value!r} is no day") from exc
 
 
 def check_exchanges(exchanges: Sequence[str]) -> list[str]:
     unknown = [e for e in exchanges if e not in SUPPORTED_EXCHANGES]
     if unknown:
-        raise ValueError(f"Unsupported exchange: {unknown[0]}")
+        raise ValueError(f"venues not served: {unknown}")
     return list(exchanges)
 
 
 def _date_source_column(df: DataFrame) -> str:
-    for name in DATE_COLUMN_CANDIDATES:
-        if name in df.columns:
-            return name
-    raise KeyError("Expected column `time` (or `date`) in landed bars")
+    name = first_present(df, DATE_COLUMN_CANDIDATES)
+    if name is None:
+        raise KeyError(f"landed bars need one of the day columns {list(DATE_COLUMN_CANDIDATES)}")
+    return name
 
 
 def with_trading_date(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
@@ -72,9 +72,14 @@ def bronze_bars(
     run_date: dt.date | None = None,
     api_source: str = API_SOURCE,
     formats: Sequence[str] = DATE_FORMATS,
+    rejects: Observation | None = None,
 ) -> DataFrame:
     """Valid tickers, parseable day, ``start_date <= trading_date <= end_date``.
 
+    ``rejects`` observes, during whatever job runs the result, the landed rows
+    and how many were dropped for which reason (filters then stay above the
+    scan).
+
     ``exchanges`` restricts venues (HOSE / HNX only, else ValueError before any
     read); ``listing`` keeps only listed (symbol, exchange) pairs via a
     left-semi join. Audit columns record the window and run date.
@@ -88,10 +93,16 @@ def bronze_bars(
     df = raw
     if exchanges is not None:
         df = df.where(strip_upper(F.col("exchange")).isin(list(exchanges)))
+    if rejects is not None:
+        df = with_trading_date(df, formats)
+        reason = reject_reason(start, end)
+        df = df.observe(rejects, F.count(F.lit(1)).alias("landed"), *[
+            F.count_if(reason == name).alias(name) for name in REJECT_REASONS])
     df = df.where(is_valid_ticker(F.col("symbol")))
     if listing is not None:
         df = universe_semi_join(df, listing)
-    df = with_trading_date(df, formats)
+    if rejects is None:
+        df = with_trading_date(df, formats)
     if start is None:
         df = df.where(F.col("trading_date").isNotNull())
     else:
@@ -120,6 +131,27 @@ def universe_semi_join(bars: DataFrame, listing: DataFrame) -> DataFrame:
     return bars.join(keys, cond, "left_semi")
 
 
+REJECT_REASONS = ("invalid_symbol", "invalid_date", "outside_window")
+
+
+def reject_reason(start: str | None, end: str | None) -> Column:
+    """Why a row with a ``trading_date`` doesn't reach bronze, else ``kept``."""
+    day = F.col("trading_date")
+    reason = (F.when(~is_valid_ticker(F.col("symbol")), F.lit("invalid_symbol"))
+               .when(day.isNull(), F.lit("invalid_date")))
+    if start is not None:
+        inside = day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        reason = reason.when(~inside, F.lit("outside_window"))
+    return reason.otherwise(F.lit("kept"))
+
+
+def unreadable_days(raw: DataFrame, limit: int = 5) -> list[str]:
+    """Up to ``limit`` distinct texts no day can be read from."""
+    text = F.coalesce(F.col(_date_source_column(raw)).cast("string"), F.lit("None")).alias("value")
+    found = with_trading_date(raw).where(F.col("trading_date").isNull()).select(text).distinct().limit(limit)
+    return sorted(r["value"] for r in found.collect())
+
+
 def bronze_rejects(raw: DataFrame, start_date: str, end_date: str,
                    formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Why rows did not reach bronze: one row per reason with its count
@@ -127,13 +159,7 @@ def bronze_rejects(raw: DataFrame, start_date: str, end_date: str,
     start = normalize_window_date(start_date)
     end = normalize_window_date(end_date)
     df = with_trading_date(raw, formats)
-    td = F.col("trading_date")
-    reason = (F.when(~is_valid_ticker(F.col("symbol")), F.lit("invalid_symbol"))
-               .when(td.isNull(), F.lit("invalid_date"))
-               .when(~td.between(F.lit(start).cast("date"), F.lit(end).cast("date")),
-                     F.lit("outside_window"))
-               .otherwise(F.lit("kept")))
-    return df.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    return df.groupBy(reject_reason(start, end).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def bronze_range(bronze: DataFrame) -> DataFrame:
@@ -155,4 +181,4 @@ def assert_bronze_range(bronze: DataFrame) -> None:
     row = bronze_range(bronze).first()
     if row is not None and not row["in_window"]:
         raise AssertionError(
-            f"Bronze date contract violated: {row['min_date']} -> {row['max_date']}")
+            f"bronze holds days {row['min_date']} to {row['max_date']}, beyond its window")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -152,6 +152,29 @@ SHIFT_DATE_YEARS = 30
 # ---------------------------------------------------------------------------
 
 
+def broken_silver(silver: DataFrame) -> DataFrame:
+    """Silver with faults of every kind a contract knows, dealt by the cents of
+    the close: nulls, negatives, fractional volumes, times of day, a text column
+    where a number belongs, a missing column. A row-wise projection."""
+    cents = F.round(F.col("close_price") * 100).cast("bigint")
+
+    def when(mod: int, fault, column) -> Column:
+        return F.when(cents % mod == 0, fault).otherwise(column)
+
+    day = F.col("trading_date").cast("timestamp_ntz")
+    return silver.select(
+        when(11, F.lit(None).cast("string"), F.col("symbol")).alias("symbol"),
+        when(19, F.lit(None).cast("string"), F.col("exchange")).alias("exchange"),
+        F.when(cents % 29 == 0, F.lit(None).cast("timestamp_ntz"))
+         .when(cents % 31 == 0, day + F.expr("INTERVAL 9 HOURS")).otherwise(day).alias("trading_date"),
+        when(37, F.lit(-1.0), F.col("open")).alias("open"),
+        F.col("high").cast("string").alias("high"), "low",
+        F.when(cents % 23 == 0, F.lit(None).cast("double"))
+         .when(cents % 13 == 0, -F.col("close_price")).otherwise(F.col("close_price")).alias("close_price"),
+        when(17, F.col("volume") + 0.5, F.col("volume")).alias("volume"),
+        when(41, F.lit(None).cast("timestamp_ntz"), F.col("ingestion_time")).alias("ingestion_time"))
+
+
 def broken_fact(fact: DataFrame) -> DataFrame:
     """Deliberately corrupted copy of the daily fact that makes every
     integrity check fire: null / out-of-range symbol keys and dates past the

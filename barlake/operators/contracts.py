@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.functions.exprs import (
-    FRACTIONAL_TYPES, INTEGRAL_TYPES, NUMERIC_TYPES, NUMBER_PATTERN, STRING_TYPES,
-    TEMPORAL_TYPES, nan_to_null, strip,
+    FRACTIONAL_TYPES, INTEGRAL_TYPES, NUMERIC_TYPES, STRING_TYPES, TEMPORAL_TYPES,
+    lenient_number, nan_to_null,
 )
 
 log = logging.getLogger(__name__)
@@ -117,11 +117,6 @@ def _is_missing(c: Column, dtype: T.DataType) -> Column:
     return (c.isNull() | F.isnan(c)) if isinstance(dtype, FRACTIONAL_TYPES) else c.isNull()
 
 
-def _lenient_number(c: Column) -> Column:
-    text = c.cast("string")
-    return nan_to_null(F.when(text.rlike(NUMBER_PATTERN), strip(text).try_cast("double")))
-
-
 def integer_valued_violations(c: Column, dtype: T.DataType) -> Column:
     """Rows that are not integer-valued (nulls ignored; inf / NaN text fail)."""
     if isinstance(dtype, INTEGRAL_TYPES):
@@ -132,7 +127,7 @@ def integer_valued_violations(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DecimalType):
         return F.count_if(F.coalesce(c % 1 != 0, F.lit(False)))
     if isinstance(dtype, STRING_TYPES):
-        n = _lenient_number(c)
+        n = lenient_number(c)
         return F.count_if(F.coalesce(~(n % 1 == 0), c.isNotNull()))
     return F.count_if(c.isNotNull())
 
@@ -167,10 +162,8 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     """Evaluate ``contract`` on ``df``; one row per rule, in evaluation order.
     When the frame is empty only the ``empty`` rule is reported.
 
-    One pass over ``df``: with a primary key, ``groupBy(pk)`` computes every
-    row-level counter per key (partial aggregation before the shuffle) and a
-    final aggregate sums them and counts duplicated rows; without one, a single
-    global aggregate."""
+    Every row-level counter is part of one global aggregate, summed in the map
+    tasks; the key's repeats are a second, narrow aggregate."""
     schema = {f.name: f.dataType for f in df.schema.fields}
     rules: list[tuple[str, str, object]] = []  # (rule, column, int constant | agg Column)
 
@@ -224,17 +217,12 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
                 negative_violations(F.col(k), dtype) if isinstance(dtype, NUMERIC_TYPES) else 1)
 
     measured = [(i, v) for i, (_, _, v) in enumerate(rules) if isinstance(v, Column)]
+    counters = df.agg(F.count(F.lit(1)).alias("_rows"), *[v.alias(f"_v{i}") for i, v in measured])
     if pk_complete:
-        per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_c"),
-                                      *[v.alias(f"_v{i}") for i, v in measured])
-        counters = per_key.agg(
-            F.coalesce(F.sum("_c"), F.lit(0)).alias("_rows"),
-            F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c") - 1).otherwise(0)), F.lit(0))
-             .alias("_dup"),
-            *[F.coalesce(F.sum(f"_v{i}"), F.lit(0)).alias(f"_v{i}") for i, _ in measured])
-    else:
-        counters = df.agg(F.count(F.lit(1)).alias("_rows"),
-                          *[v.alias(f"_v{i}") for i, v in measured])
+        # only the key crosses the shuffle
+        repeats = (df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_c"))
+                     .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("_dup")))
+        counters = counters.withColumn("_dup", repeats.scalar())
 
     def value_sql(i: int, v) -> str:
         if v is None:

@@ -3,8 +3,8 @@ monthly and yearly roll-ups.
 
 Join strategy: ``dim_date`` is a calendar over a fixed day range (7,670 rows
 for 2015..2035) so it is broadcast explicitly; ``dim_symbol`` grows with the
-ticker universe, so its joins carry no hint and AQE broadcasts it only when
-its measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
+ticker universe, so it is broadcast only after its rows have been counted
+(``sized``) and joined by shuffle beyond the limit.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ MA_PLACES = 2
 # their rounded places.
 MA_UNIT_DECIMALS = 8
 RETURN_UNIT_DECIMALS = 8
+# Rows of the symbol dimension (three short columns) that are broadcast at most.
+BROADCAST_SYMBOLS = 500_000
 
 
 def gold_view(gold: DataFrame, exchanges=GOLD_VIEW_EXCHANGES) -> DataFrame:
@@ -74,11 +76,20 @@ def dim_symbol(view: DataFrame) -> DataFrame:
     return ranked.select("symbol_key", "symbol", "exchange")
 
 
-def fact_daily(view: DataFrame, symbols: DataFrame) -> DataFrame:
+def sized(symbols: DataFrame, limit: int | None = None) -> DataFrame:
+    """The symbol dimension with a broadcast hint if it has at most ``limit`` rows
+    (counted; a stored table answers that from its footers). Larger ones are
+    joined by shuffle."""
+    limit = BROADCAST_SYMBOLS if limit is None else limit
+    return F.broadcast(symbols) if symbols.limit(limit + 1).count() <= limit else symbols
+
+
+def fact_daily(view: DataFrame, symbols: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
     """Daily fact: measures + foreign keys; inner join drops rows whose
-    (symbol, exchange) has no key (null parts never match)."""
+    (symbol, exchange) has no key (null parts never match). A symbol dimension
+    of at most ``broadcast_limit`` rows leaves the gold side unshuffled."""
     g = view.alias("g")
-    s = symbols.alias("s")
+    s = sized(symbols, broadcast_limit).alias("s")
     joined = g.join(s, (F.col("g.symbol") == F.col("s.symbol")) &
                     (F.col("g.exchange") == F.col("s.exchange")))
     return joined.select(
@@ -92,26 +103,29 @@ def fact_daily(view: DataFrame, symbols: DataFrame) -> DataFrame:
     )
 
 
-def fact_monthly(fact: DataFrame, dates: DataFrame, *, price_decimals: int | None = None) -> DataFrame:
+def fact_monthly(fact: DataFrame, dates: DataFrame, *, price_decimals: int | None = None,
+                 places: int | None = None) -> DataFrame:
     """Monthly roll-up per (symbol_key, year, month).
 
     ``price_decimals`` set: averages come from exact integer sums (prices in
     ``10^-price_decimals`` units, moving averages and returns in 1e-8 units)
     and are rounded once - reproducible bit for bit across partitionings and
-    engines. None: ``round(avg(x), n)`` on doubles.
+    engines. None: ``round(avg(x), n)`` on doubles, ``places`` replacing the
+    reported decimals (a plain average's last bits depend on the summing order, so
+    ties at the reported decimals may fall either way).
     """
     d = dates.select("date_key", "year", "month")
     joined = fact.join(F.broadcast(d), "date_key")
     if price_decimals is None:
         aggs = [
-            round_places(F.avg("close_price"), CLOSE_PLACES).alias("avg_close_price"),
-            round_places(F.avg("daily_return"), RETURN_PLACES).alias("avg_daily_return"),
-            round_places(F.avg("ma_5"), MA_PLACES).alias("avg_ma_5"),
-            round_places(F.avg("ma_20"), MA_PLACES).alias("avg_ma_20"),
+            round_places(F.avg("close_price"), places or CLOSE_PLACES).alias("avg_close_price"),
+            round_places(F.avg("daily_return"), places or RETURN_PLACES).alias("avg_daily_return"),
+            round_places(F.avg("ma_5"), places or MA_PLACES).alias("avg_ma_5"),
+            round_places(F.avg("ma_20"), places or MA_PLACES).alias("avg_ma_20"),
         ]
     else:
         def mean(col, unit_dec, places):
-            u = to_units(F.col(col), unit_dec)
+            u = to_units(F.col(col), unit_dec, exact=col == "close_price")
             return units_mean_rounded(F.sum(u), F.count(u), unit_dec, places)
         aggs = [
             mean("close_price", price_decimals, CLOSE_PLACES).alias("avg_close_price"),

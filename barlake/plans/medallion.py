@@ -1,7 +1,7 @@
 """End-to-end jobs.
 
 ``run_medallion`` (M1): landed bars -> bronze table -> silver table (contract
-gate) -> gold table (contract gate), each layer written day-partitioned with
+gate) -> gold table (contract gate), each layer written by day and venue with
 dynamic partition overwrite (idempotent re-runs) and read back from storage,
 so every layer boundary cuts lineage at a file on shared storage and a lost
 executor only recomputes from the last written layer.
@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,10 +47,27 @@ class MedallionConfig:
         return f"{self.lake_root.rstrip('/')}/{layer}"
 
 
-def _window_days(df: DataFrame, col: str, cfg: MedallionConfig) -> DataFrame:
-    """This run's days only (partition pruning on the day column)."""
-    return df.where(F.col(col).between(F.lit(cfg.start_date).cast("date"),
-                                       F.lit(cfg.end_date).cast("date")))
+def _json_bronze_schema(schema: T.StructType) -> T.StructType:
+    """Bronze JSON carries days as text; the partition columns stay typed."""
+    return T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) and f.name != "data_date"
+                      else f.dataType) for f in schema.fields])
+
+
+def _partitioned_schema(schema: T.StructType, day: str) -> T.StructType:
+    """The written frame's schema with its partition columns at the end."""
+    keep = [f for f in schema.fields if f.name not in (day, layers.VENUE)]
+    return T.StructType([*keep, T.StructField(day, T.DateType()), T.StructField(layers.VENUE, T.StringType())])
+
+
+def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A layer written by earlier runs, None before the first."""
+    try:
+        return tables.read_layer(spark, path, schema=schema)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
@@ -56,57 +75,68 @@ def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
                   batch_ts: dt.datetime | None = None) -> dict:
     """Run bronze -> silver -> gold for one window; returns per-layer stats.
 
-    Empty landing data stops early with status ``no_rows``; a contract
-    violation raises when ``cfg.strict``; an empty gold stops with
-    ``no_gold``."""
+    Each layer is computed once: silver and gold are staged, validated as
+    staged, then published. A layer reads exactly the partitions (day, venue) that
+    this run wrote below it, so days left by earlier runs don't come back, and a
+    run over some venues leaves the others' partitions alone. Gold reads each
+    series' preceding rows from the stored gold, so a short window gets the same
+    values as a full rebuild. Rows of days after the window aren't rewritten.
+
+    Without bars to keep the status is ``no_rows``, without gold rows
+    ``no_gold``; a contract violation raises when ``cfg.strict``.
+    """
     run_date = cfg.run_date or dt.date.today()
-    stats: dict = {"run_date": run_date.isoformat()}
-    if raw.isEmpty():
-        stats["status"] = "no_rows"
-        return stats
+    stats: dict = {"run_date": run_date.isoformat(), "status": "no_rows"}
+    staging = f"{cfg.path('_staging')}/{uuid.uuid4().hex}"
 
-    # bronze (keeps trading_date in the payload, partitioned by data_date)
+    # bronze
+    rejects = Observation(f"rejects_{uuid.uuid4().hex}")
     b = bronze.bronze_bars(raw, cfg.start_date, cfg.end_date, exchanges=cfg.exchanges,
-                           listing=listing, run_date=run_date)
-    bronze_schema = b.schema
-    res = layers.save_bronze(b, cfg.path("bronze"), run_date, fmt=cfg.bronze_format,
-                             mode=cfg.write_mode)
-    if res is None:
-        stats["status"] = "no_rows"
+                           listing=listing, run_date=run_date, rejects=rejects)
+    written = layers.save_bronze(b, cfg.path("bronze"), run_date, fmt=cfg.bronze_format, mode=cfg.write_mode)
+    seen = tables.observed(rejects)
+    stats["landed_rows"] = seen.get("landed") or 0
+    stats["rejected"] = {name: seen.get(name) or 0 for name in bronze.REJECT_REASONS}
+    if stats["rejected"]["invalid_date"]:
+        stats["unreadable_days"] = bronze.unreadable_days(raw)
+        log.warning("bronze: %s rows without a readable day, such as %s",
+                    stats["rejected"]["invalid_date"], stats["unreadable_days"])
+    if written is None:
         return stats
-    stats["bronze_rows"] = res["rows"]
-
-    # silver (reads the bronze table back: the vendor fields stay text)
-    bronze_read = tables.read_layer(
-        spark, cfg.path("bronze"), cfg.bronze_format,
-        schema=None if cfg.bronze_format == "parquet" else _json_bronze_schema(bronze_schema))
-    bronze_read = _window_days(bronze_read, "data_date", cfg).drop("data_date")
-    s = silver.silver_bars(bronze_read, source=cfg.source, batch_ts=batch_ts,
-                           on_bad_date="raise")
+    stats["bronze_rows"], stats["bronze_keys"] = written["rows"], written["keys"]
+    schema = _partitioned_schema(T.StructType([*b.schema.fields]), "data_date")
+    stored = tables.read_layer(spark, cfg.path("bronze"), cfg.bronze_format,
+                               schema=schema if cfg.bronze_format == "parquet" else _json_bronze_schema(schema))
+    stored = tables.only_written(stored, ("data_date", layers.VENUE), written["keys"])
+    stored = stored.withColumn("trading_date", F.col("data_date")).drop("data_date", layers.VENUE)
+    bronze.assert_bronze_range(stored)
+
+    # silver
+    s = tables.materialize(silver.silver_bars(stored, source=cfg.source, batch_ts=batch_ts), f"{staging}/silver")
     stats["silver_violations"] = contracts.validate(s, contracts.SILVER_CONTRACT, strict=cfg.strict)
-    res = layers.save_silver(s, cfg.path("silver"), run_date, mode=cfg.write_mode)
-    stats["silver_rows"] = res["rows"] if res else 0
+    written = layers.save_silver(s, cfg.path("silver"), run_date, mode=cfg.write_mode)
+    stats["silver_rows"], stats["silver_keys"] = (written["rows"], written["keys"]) if written else (0, [])
+    stats["silver_dropped"] = stats["bronze_rows"] - stats["silver_rows"]
 
     # gold
-    silver_read = _window_days(tables.read_layer(spark, cfg.path("silver")), "trading_date", cfg)
-    g = gold.gold_bars(silver_read, price_decimals=cfg.price_decimals)
-    if g.isEmpty():
+    gold_schema = _partitioned_schema(gold.GOLD_SCHEMA, "trading_date")
+    earlier = _existing(spark, cfg.path("gold"), gold_schema)
+    history = None if earlier is None else gold.look_back(earlier, cfg.start_date)
+    g = tables.materialize(gold.gold_bars(s, price_decimals=cfg.price_decimals, history=history, since=cfg.start_date),
+                           f"{staging}/gold")
+    usable = s.where(F.col("close_price").isNotNull() & F.col("volume").isNotNull()).count()
+    stats["gold_null_dropped"] = stats["silver_rows"] - usable
+    stats["gold_violations"] = contracts.validate(g, contracts.GOLD_CONTRACT, strict=cfg.strict) if usable else []
+    written = layers.save_gold(g, cfg.path("gold"), run_date=run_date, mode=cfg.write_mode) if usable else None
+    if written is None:
         stats["status"] = "no_gold"
         return stats
-    stats["gold_violations"] = contracts.validate(g, contracts.GOLD_CONTRACT, strict=cfg.strict)
-    res = layers.save_gold(g, cfg.path("gold"), run_date=run_date, mode=cfg.write_mode)
-    stats["gold_rows"] = res["rows"]
+    stats["gold_rows"], stats["gold_keys"] = written["rows"], written["keys"]
+    stats["duplicates_removed"] = usable - written["rows"]
     stats["status"] = "ok"
     return stats
 
 
-def _json_bronze_schema(schema: T.StructType) -> T.StructType:
-    """Bronze JSON carries days as text; the partition column is a date."""
-    fields = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) else f.dataType)
-              for f in schema.fields]
-    return T.StructType(fields + [T.StructField("data_date", T.DateType())])
-
-
 def build_warehouse(spark: SparkSession, gold_table: DataFrame, warehouse_root: str, *,
                     price_decimals: int | None = None) -> dict[str, DataFrame]:
     """Dimensions and facts written under ``warehouse_root`` (replaced on
@@ -115,7 +145,8 @@ def build_warehouse(spark: SparkSession, gold_table: DataFrame, warehouse_root:
     view = tables.register_view(warehouse.gold_view(gold_table), "v_gold_stock_price_daily")
     dates = tables.materialize(warehouse.dim_date(spark), f"{root}/dim_date")
     symbols = tables.materialize(warehouse.dim_symbol(view), f"{root}/dim_symbol")
-    fact = tables.materialize(warehouse.fact_daily(view, symbols), f"{root}/fact_stock_price")
+    fact = tables.materialize(warehouse.fact_daily(view, symbols), f"{root}/fact_stock_price",
+                              month_of="date_key", sort=("symbol_key",))
     monthly = tables.materialize(warehouse.fact_monthly(fact, dates, price_decimals=price_decimals),
                                  f"{root}/fact_stock_price_monthly")
     yearly = tables.materialize(warehouse.fact_yearly(monthly, exact=price_decimals is not None),

@@ -7,7 +7,9 @@ that setting (tests, laptop runs) gets a private scratch folder.
 
 from __future__ import annotations
 
+import math
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,19 +70,21 @@ def build_session(
     return spark
 
 
-def cluster_conf(input_bytes: int, *, partition_bytes: int = 256 << 20,
+def cluster_conf(input_bytes: int, *, shuffled_share: float = 1.0, partition_bytes: int = 256 << 20,
                  scan_split_bytes: int = 512 << 20, min_partitions: int = 200,
-                 max_partitions: int = 400_000) -> dict[str, str]:
+                 max_blocks: int = 2_000_000_000) -> dict[str, str]:
     """Settings sized from the input volume for a cluster run.
 
-    The initial shuffle fan-out gives each post-shuffle partition about
-    ``partition_bytes`` of (projected) input, so sorts and aggregation buffers
-    fit in executor memory without heavy spilling; AQE then coalesces small
-    partitions towards the advisory size and splits skewed ones. Scans read
-    ``scan_split_bytes`` per task. Example: 100 TB of input -> 400,000
-    partitions of 256 MB (map outputs of such fan-outs are tracked in
-    Spark's compressed map status), 512 MB scan splits."""
-    partitions = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
+    ``shuffled_share`` of the input (what filters and pruned columns leave)
+    crosses a shuffle, in partitions of about ``partition_bytes``; AQE coalesces
+    small ones and splits skewed ones. A shuffle has scan tasks x partitions
+    blocks; where these would pass ``max_blocks``, scan splits and partitions both
+    grow, so that neither the blocks nor the driver's map statuses do."""
+    partitions = max(min_partitions, -(-int(input_bytes * shuffled_share) // partition_bytes))
+    splits = max(1, -(-input_bytes // scan_split_bytes))
+    if (excess := splits * partitions / max_blocks) > 1:
+        scan_split_bytes = int(scan_split_bytes * math.sqrt(excess)) + 1
+        partitions = max(min_partitions, int(partitions / math.sqrt(excess)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -91,7 +95,7 @@ def cluster_conf(input_bytes: int, *, partition_bytes: int = 256 << 20,
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.sparkContext.master.startswith("local")
+        return re.match(r"local(\[|$)", spark.sparkContext.master) is not None  # local-cluster is a cluster
     except Exception:  # Spark Connect: no driver-side SparkContext
         return False
 
@@ -126,13 +130,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def lake_root(spark: SparkSession) -> str:
     """Root folder for written layers: ``spark.barlake.lake.root`` when set,
     else a ``lake`` folder beside the checkpoint data (shared on a cluster)."""
@@ -145,12 +142,3 @@ def lake_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unique table location under the lake root."""
     return f"{lake_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local-mode paths can be inspected."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -14,8 +14,10 @@ Writes go through one function, ``write_partitioned``:
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,50 +35,59 @@ def check_sink_schema(df: DataFrame, partition_col: str,
     if required_columns:
         missing = set(required_columns) - set(df.columns)
         if missing:
-            raise ValueError(f"Missing required columns: {sorted(missing)}")
+            raise ValueError(f"the table must have the columns {sorted(missing)}")
     if partition_col not in df.columns:
-        raise ValueError(f"Partition column '{partition_col}' not found")
+        raise ValueError(f"no column {partition_col!r} to partition by")
     dtype = df.schema[partition_col].dataType
     if not isinstance(dtype, TEMPORAL_TYPES):
-        raise AssertionError(f"partition column '{partition_col}' must be a date/timestamp, got {dtype}")
+        raise AssertionError(f"{partition_col!r} partitions by day and can't be {dtype}")
 
 
-def render_dates_as_text(df: DataFrame) -> DataFrame:
-    """Temporal columns as ``yyyy-MM-dd`` text (JSON payload contract); other
-    columns untouched."""
+def render_dates_as_text(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Temporal columns as ``yyyy-MM-dd`` text (JSON payload contract), but for
+    those in ``keep``; other columns untouched."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, TEMPORAL_TYPES):
+        if isinstance(f.dataType, TEMPORAL_TYPES) and f.name not in keep:
             cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
+def observed(observation: Observation) -> dict:
+    """What was observed; nothing where the optimizer found the input empty and
+    ran no plan with the observation in it."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str, *,
                       mode: str = "dynamic_overwrite", fmt: str = "parquet",
                       required_columns: Sequence[str] | None = None,
                       sort_cols: Sequence[str] = (),
                       extra_partition_cols: Sequence[str] = ()) -> dict:
     """Write ``df`` partitioned by the DAY of ``partition_col``; returns
-    ``{"rows": n, "path": path}`` (row count observed during the write, no
-    extra job). ``extra_partition_cols`` nest below the day (e.g. a stream's
-    batch id, so a replayed batch overwrites only its own sub-partitions)."""
+    ``{"rows": n, "path": path, "keys": [...]}``: the row count and the written
+    partitions as tuples, both observed during the write (no extra job; keys are
+    bounded by days x sub-partitions). ``extra_partition_cols`` nest below the
+    day (a venue, or a stream's batch id, so that a replayed batch overwrites
+    only its own sub-partitions)."""
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
     if fmt not in FORMATS:
-        raise ValueError(f"Unsupported file_format: {fmt}")
+        raise ValueError(f"fmt must be one of {FORMATS}")
     check_sink_schema(df, partition_col, required_columns)
     out = df.withColumn(partition_col, F.to_date(F.col(partition_col)))
     if fmt == "json":
-        # JSON payloads carry days as text; the partition column stays a date
-        out = out.select(*[
-            F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name)
-            if isinstance(f.dataType, TEMPORAL_TYPES) and f.name != partition_col
-            else F.col(f.name) for f in out.schema.fields])
-    obs = Observation("write")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    out = out.hint("rebalance", partition_col)
+        out = render_dates_as_text(out, keep=(partition_col,))
+    keys = [partition_col, *extra_partition_cols]
+    obs = Observation(f"write_{uuid.uuid4().hex}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in keys])).alias("keys"))
+    out = out.hint("rebalance", *keys)
     if sort_cols:
         out = out.sortWithinPartitions(partition_col, *sort_cols)
     writer = out.write.partitionBy(partition_col, *extra_partition_cols).format(fmt)
@@ -89,7 +100,21 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, *,
     else:
         writer = writer.mode("append")
     writer.save(path)
-    return {"rows": int(obs.get.get("rows", 0)), "path": path}
+    seen = observed(obs)
+    return {"rows": int(seen.get("rows") or 0), "path": path,
+            "keys": sorted((tuple(k) for k in seen.get("keys") or []), key=lambda k: tuple(x or "" for x in k))}
+
+
+def only_written(table: DataFrame, partition_cols: Sequence[str], keys: Sequence[tuple]) -> DataFrame:
+    """The rows of the given partitions of a table; other days aren't read, and
+    partitions left by earlier runs stay out."""
+    spark = table.sparkSession
+    names = [f"_k{i}" for i in range(len(partition_cols))]
+    wanted = spark.createDataFrame([tuple(k) for k in keys], ", ".join(f"{n} string" for n in names))
+    days = sorted({k[0] for k in keys if k[0] is not None})
+    same = [F.col(c).cast("string").eqNullSafe(F.col(n)) for c, n in zip(partition_cols, names, strict=True)]
+    pruned = table.where(F.col(partition_cols[0]).between(F.lit(days[0]).cast("date"), F.lit(days[-1]).cast("date")))
+    return pruned.join(F.broadcast(wanted), same, "left_semi")
 
 
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -101,9 +126,10 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def partition_manifest(spark: SparkSession, path: str, partition_col: str,
-                       fmt: str = "parquet") -> DataFrame:
-    """Rows per written partition, read back from the table."""
-    return (read_layer(spark, path, fmt)
+                       fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """Rows per written partition, read back from the table (JSON with a schema:
+    without one Spark would read the layer twice)."""
+    return (read_layer(spark, path, fmt, schema)
             .groupBy(partition_col).agg(F.count(F.lit(1)).alias("rows")))
 
 
@@ -128,17 +154,25 @@ def record_run(spark: SparkSession, manifest_path: str, layer: str,
                run_date: dt.date | None, result: dict) -> None:
     """Append one completion row per layer write to the run manifest (the
     reference's ``run_date=.../_SUCCESS`` marker, kept outside the data)."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = dt.datetime.now(dt.timezone.utc)  # aware: the session zone doesn't shift it
     row = [(layer, run_date.isoformat() if run_date else None, int(result["rows"]),
             result["path"], now)]
     spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest_path)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
+def materialize(df: DataFrame, path: str, month_of: str | None = None,
+                sort: Sequence[str] = ()) -> DataFrame:
     """Write a table (replace on rebuild) and return a frame reading it back:
-    lineage is cut at a file on shared storage."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    lineage is cut at a file on shared storage. ``month_of`` clusters the rows by
+    the month of that day column, sorted by day, so that a filter on the day
+    leaves most files and row groups unread."""
+    if month_of is None:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    month = F.trunc(month_of, "month").alias("_month")
+    (df.select("*", month).hint("rebalance", "_month").sortWithinPartitions("_month", month_of, *sort)
+       .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_month").parquet(path))
+    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -14,14 +14,11 @@ every layer runs on data whose size grows with the scale factor:
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.functions.exprs import strip_upper
-from barlake.session import default_parallelism
 
 # Landing schema: vendor fields as text until silver parses them.
 RAW_SCHEMA = T.StructType([
@@ -36,12 +33,15 @@ RAW_SCHEMA = T.StructType([
 ])
 
 # --- fixed values of the test-table mapping --------------------------------
-# region key -> ticker prefix / listing venue (region 3 yields 8-char
-# "Brand#NN" names that are not tickers and must be filtered out).
-REGION_PREFIX = {0: "H", 1: "X", 2: "U", 3: "Brand#", 4: "Y"}
+# region key -> listing venue; region 3 yields 8-char "Brand#NN" names that are
+# not tickers and must be filtered out.
+NO_TICKER_REGION = 3
+TICKERS = 36 ** 3
 REGION_EXCHANGE = {0: "HOSE", 1: "HNX", 2: "UPCOM", 3: "OTC", 4: "HNX"}
 # order-key moduli that inject dirty values
 BAD_DATE_MOD = 101      # time = 'not-a-date'
+SLASH_DATE_MOD = 97     # time = 'yyyy/MM/dd'
+COMPACT_DATE_MOD = 89   # time = 'yyyyMMdd'
 BAD_CLOSE_MOD = 103     # close = 'n/a'
 NEGATIVE_VOLUME_MOD = 107   # volume = '-5'
 NULL_VOLUME_MOD = 109   # volume = null
@@ -51,48 +51,16 @@ LISTED_MAX_BRAND = 20    # listing holds brands 1..20
 # ---------------------------------------------------------------------------
 
 
-_METRIC_IDS = itertools.count()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
-                       metric_name: str = "landed_rows") -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores
-    (e.g. one unsplittable file / row group) so per-row parsing does not run
-    in a single task. A large input already has enough splits and is left
-    untouched: no extra shuffle, and filters keep reaching the scan.
-
-    Rows are hash-distributed on their scan position
-    (``monotonically_increasing_id``): even, no local sort (unlike a
-    round-robin repartition), and stable on task retry because a file scan
-    yields rows in a fixed order. The landed row count is observed right
-    after the shuffle; filters are not pushed through that metrics node, so
-    downstream parsing filters stay above the shuffle and run in parallel
-    instead of inside the single scan task."""
-    target = min_partitions or default_parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view; leave the scan as planned
-        return df
-    if splits >= target:
-        return df
-    spread = df.repartition(target, F.monotonically_increasing_id())
-    # metric names must be unique within a plan (a source may be read twice)
-    return spread.observe(f"{metric_name}_{next(_METRIC_IDS)}", F.count(F.lit(1)).alias("rows"))
-
-
-def read_landed(spark: SparkSession, path: str, fmt: str = "parquet",
-                schema: T.StructType | None = None) -> DataFrame:
-    """Read landed bar files with a declared schema (no inference)."""
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    if fmt == "json":
-        reader = reader.option("multiLine", "false")
-    return reader.load(path)
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows of an unsplittable file out to ``partitions`` tasks by their
+    scan position (even, and the same when a task is run again). Off unless a
+    number is given: a large scan has splits enough, and a shuffle below the
+    filters would keep them from the scan."""
+    return df if partitions is None else df.repartition(partitions, F.monotonically_increasing_id())
 
 
 def _case(key: Column, mapping: dict) -> Column:
@@ -102,10 +70,10 @@ def _case(key: Column, mapping: dict) -> Column:
     return expr
 
 
-def _tpch_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
+def _tpch_base(spark: SparkSession, sf_dir: str, partitions: int | None) -> DataFrame:
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_quantity", "l_extendedprice", "l_shipdate"), metric_name="landed_line_items")
+        "l_quantity", "l_extendedprice", "l_shipdate"), partitions)
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # nation is the fixed 25-row TPC-H dimension at every scale: safe to broadcast.
@@ -117,14 +85,17 @@ def _tpch_base(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(supp_region, li.l_suppkey == supp_region.s_suppkey))
 
 
-def _brand_no(base: DataFrame) -> Column:
-    return F.regexp_replace(F.col("p_brand"), "Brand#", "")
+def ticker(key: Column) -> Column:
+    """Three base-36 characters of a key: 46,656 tickers, so series grow with the
+    tables until then."""
+    return F.lpad(F.conv((key % TICKERS).cast("string"), 10, 36), 3, "0")
 
 
-def raw_bars_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_bars_from_tpch(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """One landed bar per line item (text fields, dirty on purpose) plus the
-    ``ingest_seq`` struct that gives keep-last de-duplication a total order."""
-    base = _tpch_base(spark, sf_dir)
+    ``ingest_seq`` struct that gives keep-last de-duplication a total order, and
+    the brand that the listing is drawn from."""
+    base = _tpch_base(spark, sf_dir, partitions)
     region = F.col("n_regionkey")
     okey = F.col("l_orderkey")
     price = F.col("l_extendedprice")
@@ -132,10 +103,12 @@ def raw_bars_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     venue = _case(region, REGION_EXCHANGE)
     shifted = F.add_months(F.to_date(F.col("l_shipdate")), DATE_SHIFT_MONTHS)
     return base.select(
-        F.concat(_case(region, REGION_PREFIX), F.lpad(_brand_no(base), 2, "0")).alias("symbol"),
+        F.when(region == NO_TICKER_REGION, F.col("p_brand")).otherwise(ticker(F.col("l_partkey"))).alias("symbol"),
         F.when(F.col("l_linenumber") == 1, F.concat(F.lit(" "), F.lower(venue), F.lit(" ")))
          .otherwise(venue).alias("exchange"),
         F.when(okey % BAD_DATE_MOD == 0, F.lit("not-a-date"))
+         .when(okey % SLASH_DATE_MOD == 0, F.date_format(shifted, "yyyy/MM/dd"))
+         .when(okey % COMPACT_DATE_MOD == 0, F.date_format(shifted, "yyyyMMdd"))
          .otherwise(shifted.cast("string")).alias("time"),
         F.when(okey % NULL_OPEN_MOD == 0, F.lit(None).cast("string"))
          .otherwise(price.cast("string")).alias("open"),
@@ -152,25 +125,27 @@ def raw_bars_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listing_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Symbol universe: distinct (symbol, clean exchange) of brands 1..20.
-    A distinct aggregate with map-side combine; output is the ticker list."""
-    bars = raw_bars_from_tpch(spark, sf_dir).select(
-        "symbol", "exchange", F.substring("symbol", -2, 2).cast("int").alias("brand"))
-    return (bars.where(F.col("brand") <= LISTED_MAX_BRAND)
-                .select("symbol", strip_upper(F.col("exchange")).alias("exchange"))
-                .distinct())
+def _listed_bars(spark: SparkSession, sf_dir: str, partitions: int | None) -> DataFrame:
+    base = _tpch_base(spark, sf_dir, partitions)
+    return base.where((F.col("n_regionkey") != NO_TICKER_REGION)
+                      & (F.regexp_replace("p_brand", "Brand#", "").cast("int") <= LISTED_MAX_BRAND)).select(
+        ticker(F.col("l_partkey")).alias("symbol"), _case(F.col("n_regionkey"), REGION_EXCHANGE).alias("exchange"))
+
+
+def listing_from_tpch(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Symbol universe: distinct (symbol, exchange) of brands up to
+    LISTED_MAX_BRAND. A distinct aggregate with map-side combine."""
+    return _listed_bars(spark, sf_dir, partitions).distinct()
 
 
-def raw_bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as intraday bars: user -> ticker, event type -> venue, ts ->
-    bar time (kept as a timestamp), value -> close, event id -> volume."""
-    ev = ensure_parallelism(read_table(spark, sf_dir, "events")
-                            .select("event_id", "ts", "user_id", "event_type", "value"),
-                            metric_name="landed_events")
-    uid = F.col("user_id").cast("string")
+def raw_bars_from_events(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Events as intraday bars: user -> ticker (of every user), event type ->
+    venue, ts -> bar time (kept as a timestamp), value -> close, event id ->
+    volume."""
+    ev = spread(read_table(spark, sf_dir, "events")
+                .select("event_id", "ts", "user_id", "event_type", "value"), partitions)
     return ev.select(
-        F.when(F.col("user_id") < 1000, F.lpad(uid, 3, "0")).otherwise(uid).alias("symbol"),
+        ticker(F.col("user_id")).alias("symbol"),
         F.col("event_type").alias("exchange"),
         F.col("ts").alias("time"),
         F.col("value").alias("close"),

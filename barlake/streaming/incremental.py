@@ -6,8 +6,11 @@ same bronze and silver operators and the silver contract, and writes both
 layers partitioned by (day, ``ingest_batch``) with dynamic partition
 overwrite: new files add rows to existing days, and a replayed batch (after a
 failure the checkpoint re-delivers it) rewrites only its own sub-partitions
-instead of duplicating rows. Gold depends on whole series (20-row windows),
-so it is rebuilt by the batch job from the silver table.
+instead of duplicating rows. The stream has layers of its own
+(``bronze_stream``, ``silver_stream``): the batch job partitions by venue, so one
+folder can't hold both. Keys are checked within a micro-batch. Gold depends on
+whole series, so ``gold_from_stream`` builds it from all streamed silver, which
+keeps the last arrival of a key across batches.
 
 ``trigger(availableNow=True)`` processes everything landed so far in bounded
 micro-batches and stops, which suits a scheduled job.
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.operators import bronze, contracts, silver
+from barlake.operators import bronze, contracts, gold, silver
 from barlake.sinks import tables
 
 
@@ -36,14 +39,14 @@ def _process_batch(batch: DataFrame, batch_id: int, *, lake_root: str, start_dat
     b = b.withColumn("data_date", F.col("trading_date"))
     tag = F.lit(int(batch_id)).cast("bigint")
     tables.write_partitioned(b.drop("trading_date").withColumn("ingest_batch", tag),
-                             f"{lake_root}/bronze", "data_date",
+                             f"{lake_root}/bronze_stream", "data_date",
                              extra_partition_cols=["ingest_batch"])
     # the micro-batch's own rows: one ingestion timestamp per batch
     s = silver.silver_bars(b.drop("data_date"), source=source,
                            batch_ts=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
                            on_bad_date="drop")
     contracts.validate(s, contracts.SILVER_CONTRACT, strict=strict)
-    tables.write_partitioned(s.withColumn("ingest_batch", tag), f"{lake_root}/silver",
+    tables.write_partitioned(s.withColumn("ingest_batch", tag), f"{lake_root}/silver_stream",
                              "trading_date", required_columns=["trading_date", "symbol"],
                              extra_partition_cols=["ingest_batch"])
 
@@ -75,3 +78,11 @@ def start_silver_stream(spark: SparkSession, landing_path: str, schema: T.Struct
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
+
+
+def gold_from_stream(spark: SparkSession, lake_root: str, *, price_decimals: int | None = None) -> DataFrame:
+    """Gold over everything the stream has brought to silver so far. A later
+    batch arrives later; within one, ``ingest_seq`` decides."""
+    streamed = tables.read_layer(spark, f"{lake_root.rstrip('/')}/silver_stream")
+    order = F.struct("ingest_batch", "ingest_seq") if "ingest_seq" in streamed.columns else F.struct("ingest_batch")
+    return gold.gold_bars(streamed.withColumn("arrival", order), price_decimals=price_decimals, order_by="arrival")

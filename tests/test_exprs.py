@@ -28,10 +28,13 @@ def test_lenient_day_parse(spark):
     assert ts.select(X.parse_date(ts, "v").alias("d")).first().d == dt.date(2025, 1, 2)
 
 
-def test_optional_layouts(spark):
-    df = _one_col(spark, ["2025/01/02", "01/02/2025"])
-    got = [r.d for r in df.select(X.parse_text_date(F.col("v"), X.EXTRA_DATE_FORMATS).alias("d")).collect()]
-    assert got == [dt.date(2025, 1, 2), dt.date(2025, 1, 2)]
+def test_declared_layouts(spark):
+    texts = ["2025/01/02", "01/02/2025", "20250102", "2025-01-02T09:15:00Z", "2025-01-02 09:15:00+07:00", "2025/1/2 23:59",
+             "\u00a02025-01-02\u3000", "2025130", "20251301", "31/12/2025", "2025-01-02 noon"]
+    got = [r.d for r in _one_col(spark, texts).select(X.parse_text_date(F.col("v")).alias("d")).collect()]
+    assert got == [dt.date(2025, 1, 2)] * 7 + [None] * 4
+    df = _one_col(spark, ["2 Jan 2025"])
+    assert df.select(X.parse_text_date(F.col("v"), ["d MMM yyyy"]).alias("d")).first().d == dt.date(2025, 1, 2)
 
 
 def test_lenient_numbers(spark):
@@ -75,5 +78,9 @@ def test_cluster_conf_scales_with_input():
     small = cluster_conf(10 << 30)
     large = cluster_conf(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert large["spark.sql.shuffle.partitions"] == "400000"
     assert cluster_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
+    # half of the scanned bytes reach the shuffle; maps x reducers stay bounded
+    maps = -(-(100 << 40) // int(large["spark.sql.files.maxPartitionBytes"]))
+    assert maps * int(large["spark.sql.shuffle.partitions"]) <= 2.1e9
+    half = cluster_conf(1 << 40, shuffled_share=0.5)
+    assert half["spark.sql.shuffle.partitions"] == "2048"

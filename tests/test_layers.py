@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from barlake.functions.ranking import dense_rank_distinct
-from barlake.operators import bronze, gold, silver, warehouse
+from barlake.operators import bi, bronze, gold, silver, warehouse
 
 D = dt.date
 
@@ -159,3 +159,38 @@ def test_silver_lazy_raise_mode(spark):
     with pytest.raises(Exception, match="oops"):
         s.collect()
     assert silver.silver_bars(bad, on_bad_date="drop").count() == 0
+
+
+def test_keep_last_needs_an_order(spark):
+    df = _silver(spark, [("AAA", "HOSE", D(2025, 1, 2), 1.0, 1.0, 1)]).drop("ingest_seq")
+    with pytest.raises(ValueError, match="arrival order"):
+        gold.gold_bars(df)
+
+
+def test_times_of_day_are_one_day(spark):
+    df = _silver(spark, [("AAA", "HOSE", D(2025, 1, 2), float(i), 1.0, i) for i in (1, 2)])
+    stamped = df.withColumn("trading_date", F.col("trading_date").cast("timestamp_ntz") + F.expr("make_dt_interval(0, ingest_seq)"))
+    rows = gold.gold_bars(stamped).collect()
+    assert [(r.trading_date, r.close_price) for r in rows] == [(D(2025, 1, 2), 2.0)]
+
+
+def test_fixed_point_refuses_other_values(spark):
+    df = _silver(spark, [("AAA", "HOSE", D(2025, 1, 2), 10.1234, 1.0, 1)])
+    with pytest.raises(Exception, match="does not fit 2 decimals"):
+        gold.gold_bars(df, price_decimals=2).collect()
+    assert gold.gold_bars(df).first().ma_5 == 10.1234 and gold.gold_bars(df, price_decimals=4).first().ma_5 == 10.1234
+
+
+def test_bronze_range_raises(spark):
+    b = bronze.bronze_bars(_raw(spark, [("AAA", "HOSE", "2025-01-02", "1", "1", 1)]), "2025-01-01", "2025-01-31")
+    bronze.assert_bronze_range(b)
+    with pytest.raises(AssertionError):
+        bronze.assert_bronze_range(b.withColumn("trading_date", F.lit("2026-01-01").cast("date")))
+
+
+def test_recent_report_anchors(spark):
+    view = spark.createDataFrame([("AAA", D.today(), 2.0), ("BBB", D(2020, 1, 1), 1.0)],
+                                 "symbol string, trading_date date, close_price double")
+    assert [r.symbol for r in bi.recent_avg_close(view).collect()] == ["AAA"]
+    assert [r.symbol for r in bi.recent_avg_close(view, anchor="max").collect()] == ["AAA"]
+    assert {r.symbol for r in bi.recent_avg_close(view, anchor="2020-01-10").collect()} == {"AAA", "BBB"}

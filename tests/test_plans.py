@@ -1,4 +1,5 @@
 """Physical-plan properties that matter at scale."""
+from barlake.operators import contracts, warehouse
 from barlake.plans.lakehouse import Lakehouse
 from barlake.sinks import tables
 
@@ -42,9 +43,34 @@ def test_bi_uses_scalar_subquery_and_preaggregates(spark):
     assert vol.count("HashAggregate(keys=[symbol_key") >= 1
 
 
-def test_small_scan_spread_keeps_filters_above_shuffle(spark):
-    plan = Lakehouse(spark, SF_SMALL).bronze._jdf.queryExecution().optimizedPlan().toString()
-    lines = plan.splitlines()
-    metrics = next(i for i, ln in enumerate(lines) if "CollectMetrics" in ln)
-    parse_filters = [i for i, ln in enumerate(lines) if "Filter" in ln and "RLIKE" in ln]
-    assert parse_filters and all(i < metrics for i in parse_filters)
+def test_filters_reach_the_scan(spark):
+    plan = _plan(Lakehouse(spark, SF_SMALL).bronze)
+    assert "Exchange RoundRobin" not in plan and "CollectMetrics" not in plan
+
+
+def test_warehouse_reads_stored_gold(spark):
+    lh = Lakehouse(spark, SF_SMALL)
+    for df in (lh.view, lh.recent_avg_close(anchor="2020-12-31"), lh.fact):
+        plan = _plan(df)
+        assert "Scan ExistingRDD" not in plan and "FileScan parquet" in plan
+    assert "PushedFilters: [In(exchange" in _plan(lh.view)
+    assert "GreaterThanOrEqual(trading_date" in _plan(lh.recent_avg_close(anchor="2020-12-31"))
+
+
+def test_symbol_dimension_is_broadcast_below_its_limit_only(spark):
+    lh = Lakehouse(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = _plan(warehouse.fact_daily(lh.view, lh.dim_symbol))
+        large = _plan(warehouse.fact_daily(lh.view, lh.dim_symbol, broadcast_limit=10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in small and "BroadcastHashJoin" in small
+    assert "SortMergeJoin" in large and "BroadcastHashJoin" not in large
+
+
+def test_contract_shuffles_the_key_only(spark):
+    plan = contracts.contract_report(Lakehouse(spark, SF_SMALL).gold_table, contracts.GOLD_CONTRACT
+                                     )._jdf.queryExecution().executedPlan().toString()
+    exchanged = [x for x in plan.splitlines() if "Exchange hashpartitioning(symbol" in x]
+    assert exchanged and "close_price" not in "".join(exchanged)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from barlake.plans.lakehouse import Lakehouse
 from barlake.sinks import tables
-from barlake.streaming.incremental import start_silver_stream
+from barlake.streaming.incremental import gold_from_stream, start_silver_stream
 
 from conftest import SF_SMALL
 
@@ -24,6 +24,8 @@ def test_stream_matches_batch_silver(spark, tmp_path):
     q = start_silver_stream(spark, landing + "/*", schema, lake, ckpt,
                             start_date="2016-01-01", end_date="2020-12-31")
     q.awaitTermination(300)
-    got = tables.read_layer(spark, lake + "/silver")
+    got = tables.read_layer(spark, lake + "/silver_stream")
     assert got.count() == lh.silver.count() == 2612
-    assert tables.read_layer(spark, lake + "/bronze").count() == 2631
+    assert tables.read_layer(spark, lake + "/bronze_stream").count() == 2631
+    gold = gold_from_stream(spark, lake, price_decimals=2)
+    assert gold.exceptAll(lh.gold).count() == 0 and gold.count() == lh.gold.count()
