@@ -192,13 +192,15 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], counted["times"].to_numpy(np.int64)[order]
 
 
-COLUMN_SCHEMA = "h bigint, salt int, cut boolean, a bigint, b bigint, n int, often int"
+COLUMN_SCHEMA = "h bigint, salt int, cut boolean, a bigint, n int, often int"
 
 
 def prefix_columns(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """The incidence matrix's entries in prefixes: a row for each class and
     shingle of its prefix, with the number of the class's frequent shingles. A
-    task emits a class once; a very frequent shingle's column is salted (``cut``)."""
+    task emits a class once; a very frequent shingle's column is salted (``cut``).
+    Half of the class's id does here: classes that share it are told apart when
+    pairs are verified, and would have to share a shingle as well to meet."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,14 +232,14 @@ def prefix_columns(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) ->
                 rows, hashes, salts = rows[keep], hashes[keep], salts[keep]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hashes.view(np.int64)), pa.array((a[rows] % salts).astype(np.int32)), pa.array(salts > 1),
-                     pa.array(a[rows]), pa.array(b[rows]), pa.array(n[rows].astype(np.int32)), pa.array(n_hot[rows])],
+                     pa.array(a[rows]), pa.array(n[rows].astype(np.int32)), pa.array(n_hot[rows])],
                     names=[x.split()[0] for x in COLUMN_SCHEMA.split(", ")])
 
     return docs.select("text").mapInArrow(run, COLUMN_SCHEMA)
 
 
 PAIR = ["a", "b", "a2", "b2"]
-PRODUCT_SCHEMA = "h bigint, a bigint, b bigint, n int, a2 bigint, b2 bigint"
+PRODUCT_SCHEMA = "h bigint, a bigint, n int, a2 bigint"
 _PRODUCT = [x.split()[0] for x in PRODUCT_SCHEMA.split(", ")]
 
 
@@ -262,19 +264,17 @@ def _begins(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fresh)
 
 
-def _pair_batches(a, b, left, right) -> Iterator[pa.RecordBatch]:
+def _pair_batches(a, left, right) -> Iterator[pa.RecordBatch]:
     """Distinct pairs of entries, the smaller class first."""
-    swap = (a[left] > a[right]) | ((a[left] == a[right]) & (b[left] > b[right]))
-    left, right = np.where(swap, right, left), np.where(swap, left, right)
-    order = np.lexsort((b[right], a[right], b[left], a[left]))
-    left, right = left[order], right[order]
-    fresh = _begins(a[left], b[left], a[right], b[right])
-    left, right = left[fresh], right[fresh]
-    for at in range(0, len(left), 1 << 16):
-        i, j = left[at:at + (1 << 16)], right[at:at + (1 << 16)]
+    low, high = np.minimum(a[left], a[right]), np.maximum(a[left], a[right])
+    order = np.lexsort((high, low))
+    low, high = low[order], high[order]
+    fresh = _begins(low, high)
+    low, high = low[fresh], high[fresh]
+    for at in range(0, len(low), 1 << 16):
+        i, j = low[at:at + (1 << 16)], high[at:at + (1 << 16)]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(i), pa.int64()), pa.array(a[i]), pa.array(b[i]), pa.nulls(len(i), pa.int32()),
-             pa.array(a[j]), pa.array(b[j])], names=_PRODUCT)
+            [pa.nulls(len(i), pa.int64()), pa.array(i), pa.nulls(len(i), pa.int32()), pa.array(j)], names=_PRODUCT)
 
 
 def _within(size: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -294,16 +294,16 @@ def block_product(columns: DataFrame) -> DataFrame:
     of columns whose pairs weren't all formed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches, ["h", "salt", "cut", "a", "b", "n", "often"])
+        got = _gathered(batches, ["h", "salt", "cut", "a", "n", "often"])
         if got is None:
             return
         # sets of which one is at most 4/3 of the other have bands that differ by one at most
-        band = np.floor(np.log(got[5]) / np.log(SHARED / JOINT)).astype(np.int64)
-        order = np.lexsort((got[4], got[3], -got[6], band, got[1], got[0]))
-        h, salt, cut, a, b, n, _ = (x[order] for x in got)
+        band = np.floor(np.log(got[4]) / np.log(SHARED / JOINT)).astype(np.int64)
+        order = np.lexsort((got[3], -got[5], band, got[1], got[0]))
+        h, salt, cut, a, n, _ = (x[order] for x in got)
         band = band[order]
-        fresh = _begins(h, salt, a, b)
-        h, salt, cut, a, b, n, band = (x[fresh] for x in (h, salt, cut, a, b, n, band))
+        fresh = _begins(h, salt, a)
+        h, salt, cut, a, n, band = (x[fresh] for x in (h, salt, cut, a, n, band))
         begin = _begins(h, salt)
         size = np.diff(np.append(begin, len(h)))
         few = (size > 1) & (size <= FULL_COLUMN)
@@ -321,28 +321,27 @@ def block_product(columns: DataFrame) -> DataFrame:
             rights.append(hit)
         left, right = np.concatenate(lefts), np.concatenate(rights)
         allow = (left != right) & _sizes_allow(n[left], n[right])
-        yield from _pair_batches(a, b, left[allow], right[allow])
+        yield from _pair_batches(a, left[allow], right[allow])
         members = np.flatnonzero(long | cut)
         for at in range(0, len(members), 1 << 16):
             m = members[at:at + (1 << 16)]
-            none = pa.nulls(len(m), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(h[m]), pa.array(a[m]), pa.array(b[m]), pa.array(n[m]), none, none],
+            yield pa.RecordBatch.from_arrays([pa.array(h[m]), pa.array(a[m]), pa.array(n[m]), pa.nulls(len(m), pa.int64())],
                                              names=_PRODUCT)
 
     return columns.repartition("h", "salt").mapInArrow(run, PRODUCT_SCHEMA)
 
 
-def in_blocks(members: DataFrame) -> DataFrame:
+def in_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Entries of columns with classes of several components, dealt to blocks: an
     entry's part of the column meets each part once, as row or column ``side``."""
     mixed = (members.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("ra", "rb")).alias("low"),
                                       F.max(F.struct("ra", "rb")).alias("high"))
              .where("low <> high").select("h", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")))
-    own = F.pmod(F.xxhash64("b", "a"), F.col("parts")).cast("int")
-    return (members.join(mixed, "h").withColumn("own", own)
+    own = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    return (members.join(mixed, "h").join(classes.select("a", "coarse"), "a").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("h", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                    (F.col("own") > F.col("other")).alias("side"), "a", "b", "n", "ra", "rb", "coarse"))
+                    (F.col("own") > F.col("other")).alias("side"), "a", "n", "ra", "rb", "coarse"))
 
 
 def cross_pairs(blocks: DataFrame) -> DataFrame:
@@ -350,11 +349,11 @@ def cross_pairs(blocks: DataFrame) -> DataFrame:
     by their sizes and sketches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches, ["h", "low", "high", "side", "n", "ra", "rb", "a", "b", "coarse"])
+        got = _gathered(batches, ["h", "low", "high", "side", "n", "ra", "rb", "a", "coarse"])
         if got is None:
             return
-        order = np.lexsort((got[8], got[7], got[4], got[3], got[2], got[1], got[0]))
-        h, low, high, side, n, ra, rb, a, b, coarse = (x[order] for x in got)
+        order = np.lexsort((got[7], got[4], got[3], got[2], got[1], got[0]))
+        h, low, high, side, n, ra, rb, a, coarse = (x[order] for x in got)
         n = n.astype(np.int64)
         begin = _begins(h, low, high)
         lefts, rights = [], []
@@ -374,15 +373,16 @@ def cross_pairs(blocks: DataFrame) -> DataFrame:
                     lefts.append(np.full(len(j), i))
                     rights.append(j)
         none = [np.zeros(0, np.int64)]
-        yield from _pair_batches(a, b, np.concatenate(lefts + none), np.concatenate(rights + none))
+        yield from _pair_batches(a, np.concatenate(lefts + none), np.concatenate(rights + none))
 
-    return blocks.repartition("h", "low", "high").mapInArrow(run, PRODUCT_SCHEMA).select(*PAIR)
+    return blocks.repartition("h", "low", "high").mapInArrow(run, PRODUCT_SCHEMA).select("a", "a2")
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs that may link by the finest sketches of their classes."""
+    """The pairs (a, a2) that may link by the finest sketches of their classes, as
+    pairs of whole ids."""
     one = classes.select("a", "b", "n", F.coalesce("fine", "coarse").alias("sketch"))
-    rows = pairs.join(one, ["a", "b"]).join(one.toDF("a2", "b2", "n2", "sketch2"), ["a2", "b2"])
+    rows = pairs.join(one, "a").join(one.toDF("a2", "b2", "n2", "sketch2"), "a2")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -421,7 +421,9 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
                                 & (F.col("version") == F.col("its_version"))))
     sets = stored(sets, "sets")
     other = sets.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("set").alias("set2"))
-    rows = pairs.join(other, ["a2", "b2"]).join(sets, ["a", "b"])
+    if pairs.count() <= BROADCAST_CLASSES:  # four numbers a row
+        pairs = F.broadcast(pairs)
+    rows = other.join(pairs, ["a2", "b2"]).join(sets, ["a", "b"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -466,13 +468,14 @@ def components(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("least"),
         F.max("n").alias("n"), F.max("coarse").alias("coarse"), F.max("fine").alias("fine")), "classes")
     product = stored(block_product(prefix_columns(docs, frequent)), "product")
-    pairs = stored(product.where("h is null").select(*PAIR).distinct(), "pairs")
+    pairs = stored(product.where("h is null").select("a", "a2").distinct(), "pairs")
     links = stored(linked(stored(plausible(pairs, classes), "plausible"), classes, docs), "links")
     found = _flat(roots(_edges(links)))
-    members = (product.where("h is not null").select("h", "a", "b").distinct()
-               .join(classes.select("a", "b", "n", "coarse"), ["a", "b"]).join(found, ["a", "b"], "left")
-               .select("h", "a", "b", "n", "coarse", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")))
-    cross = stored(cross_pairs(in_blocks(members)).distinct().join(pairs, PAIR, "left_anti"), "cross")
+    # a class in no link is a component of its own
+    members = (product.where("h is not null").select("h", "a", "n").distinct()
+               .join(found.select("a", "ra", "rb"), "a", "left")
+               .select("h", "a", "n", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", F.lit(0)).alias("rb")))
+    cross = stored(cross_pairs(in_blocks(members, classes)).distinct().join(pairs, ["a", "a2"], "left_anti"), "cross")
     if not cross.isEmpty():
         later = stored(linked(stored(plausible(cross, classes), "plausible"), classes, docs), "links")
         found = _flat(roots(_edges(links.unionByName(later))))
