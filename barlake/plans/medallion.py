@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.functions.exprs import strip_upper
 from barlake.operators import bi, bronze, checks, contracts, gold, silver, warehouse
 from barlake.sinks import layers, tables
 
@@ -95,6 +96,10 @@ def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
                            listing=listing, run_date=run_date, rejects=rejects)
     written = layers.save_bronze(b, cfg.path("bronze"), run_date, fmt=cfg.bronze_format, mode=cfg.write_mode)
     seen = tables.observed(rejects)
+    if not seen:  # an empty result leaves the plan without its observation: count by itself
+        served = raw if cfg.exchanges is None else raw.where(strip_upper(F.col("exchange")).isin(list(cfg.exchanges)))
+        seen = {r["reason"]: r["rows"] for r in bronze.bronze_rejects(served, cfg.start_date, cfg.end_date).collect()}
+        seen["landed"] = sum(seen.values())
     stats["landed_rows"] = seen.get("landed") or 0
     stats["rejected"] = {name: seen.get(name) or 0 for name in bronze.REJECT_REASONS}
     if stats["rejected"]["invalid_date"]:

@@ -20,7 +20,7 @@ def test_gold_two_shuffles_with_partial_dedup(spark):
 
 def test_calendar_broadcast_in_monthly(spark):
     lh = Lakehouse(spark, SF_SMALL)
-    plan = _plan(lh.monthly)
+    plan = _plan(warehouse.fact_monthly(lh.fact, lh.dim_date, price_decimals=2))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
 
 
