@@ -17,7 +17,7 @@ def test_stages_on_planted_rows(spark):
     near = list(base)
     near[len(near) // 2] = "changed"
     planted = [(100001, "1234 !! 5678", "xx", "p1"), (100002, " ".join(base), "en", "p1"), (100003, " ".join(near), "en", "p2"),
-               (100004, clean.replace("\n", " ") + " " + item, "en", "p3")]
+               (100004, " ".join(reversed(clean.split())) + " " + item, "en", "p3")]
     planted += [(100010 + i, f"Accept our cookies to read on.\n{w} stands here alone with words of its own {i}.", "en", f"q{i}")
                 for i, w in enumerate(base[:6])]
     added = spark.createDataFrame([(*p, len(p[1])) for p in planted], docs.schema)
