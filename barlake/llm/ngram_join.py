@@ -17,6 +17,10 @@ are cut into square blocks of classes for that.
 Sizes, and counts of shingles by the first bits of their hash, bound the overlap
 of a pair from above; pairs below the bound go before any set is read. What is
 left is verified by exact counting on both whole sets.
+
+``class_links`` gives all links: components are exact, so each link lies within
+one, and the product of a component's whole incidence matrix is formed in square
+blocks of classes, its overlaps summed over blocks of columns.
 """
 
 from __future__ import annotations
@@ -39,6 +43,8 @@ SHARED, JOINT = 4, 3
 FULL_COLUMN = 6
 #: Classes on a side of the blocks that long columns are cut into.
 BLOCK = 1024
+#: Shingles on a side of the blocks in which all links are counted, and their columns at once.
+BLOCK_SHINGLES, COLUMNS = 1 << 21, 4096
 #: Counters of a task's summary of frequent shingles, the most that are
 #: broadcast, and the documents that make a shingle frequent. They only decide
 #: the order of shingles and the pivots, never a result.
@@ -449,16 +455,9 @@ def _flat(found: DataFrame) -> DataFrame:
                         F.col("root.a").alias("ra"), F.col("root.b").alias("rb"))
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, version (a hash of
-    the text), n_shingles, component_id (smallest doc_id of the component), and
-    ``first`` for the rows of the component's smallest (doc_id, version).
-
-    A null or blank text has no shingles and is linked with nothing: it is its
-    own component. Null doc_ids count as larger than others: a component of
-    such alone has a null id. Repeated rows each give a row, extra columns are
-    ignored, an empty table gives an empty result.
-    """
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The typed documents, their sets' sizes and classes, and the classes with the
+    root of their component."""
     small_batches(docs.sparkSession)
     docs = typed(docs, doc_id="bigint", text="string").withColumn("version", F.xxhash64("text"))
     sets = stored(document_sets(docs), "shingle-sets")
@@ -481,6 +480,20 @@ def components(docs: DataFrame) -> DataFrame:
         found = _flat(roots(_edges(links.unionByName(later))))
     found = stored(classes.join(found, ["a", "b"], "left").select(
         "a", "b", "least", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")), "roots")
+    return docs, rows, found
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, version (a hash of
+    the text), n_shingles, component_id (smallest doc_id of the component), and
+    ``first`` for the rows of the component's smallest (doc_id, version).
+
+    A null or blank text has no shingles and is linked with nothing: it is its
+    own component. Null doc_ids count as larger than others: a component of
+    such alone has a null id. Repeated rows each give a row, extra columns are
+    ignored, an empty table gives an empty result.
+    """
+    _, rows, found = _classes(docs)
     smallest = found.groupBy("ra", "rb").agg(F.min("least").alias("smallest"))
     named = found.join(smallest, ["ra", "rb"]).select("a", "b", "smallest")
     own = rows.where("n = 0").select("doc_id", "version", F.col("n").alias("n_shingles"),
@@ -491,10 +504,110 @@ def components(docs: DataFrame) -> DataFrame:
     ).unionByName(own)
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Shared shingles of each left with each right set."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    columns = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def entries(sets):
+        hashes, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(columns, hashes), max(len(columns) - 1, 0))
+        hit = columns[at] == hashes if len(columns) else np.zeros(len(hashes), bool)
+        order = np.argsort(at[hit], kind="stable")
+        return at[hit][order], rows[hit][order]
+
+    sides = [(entries(x), len(x)) for x in (left, right)]
+    for first in range(0, len(columns), COLUMNS):
+        parts = []
+        for (at, rows), n in sides:
+            low, high = np.searchsorted(at, [first, first + COLUMNS])
+            part = np.zeros((n, min(COLUMNS, len(columns) - first)), np.float32)
+            part[rows[low:high], at[low:high] - first] = 1
+            parts.append(part)
+        out += (parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
+LINK_SCHEMA = ", ".join(f"{c} bigint" for c in [*PAIR, "shared"])
+
+
+def _block_links(dealt: DataFrame) -> DataFrame:
+    """The links of each block of a component's classes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = _gathered(batches, ["ra", "rb", "low", "high", "side", "a", "b", "set"])
+        if got is None:
+            return
+        order = np.lexsort([got[i] for i in (6, 5, 4, 3, 2, 1, 0)])
+        ra, rb, low, high, side, a, b, held = (x[order] for x in got)
+        begin = _begins(ra, rb, low, high)
+        for start, stop in zip(begin, np.append(begin[1:], len(a)), strict=True):
+            sets = [np.frombuffer(x, U) for x in held[start:stop]]
+            n = np.array([len(x) for x in sets], np.int64)
+            same = low[start] == high[start]
+            middle = 0 if same else int(np.searchsorted(side[start:stop], True))
+            left = slice(0, len(sets) if same else middle)
+            if not sets[left] or not sets[middle:]:
+                continue
+            shared = overlaps(sets[left], sets[middle:])
+            links = SHARED * shared >= JOINT * (n[left][:, None] + n[middle:] - shared)
+            i, j = np.nonzero(np.triu(links, 1) if same else links)
+            for at in range(0, len(i), 1 << 16):
+                x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+                u, v = start + x, start + middle + y
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (a[u], b[u], a[v], b[v], shared[x, y])], names=[*PAIR, "shared"])
+
+    return dealt.repartition("ra", "rb", "low", "high").mapInArrow(run, LINK_SCHEMA)
+
+
+def _links(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
+    sizes = rows.where("n > 0").select("a", "b", "n").distinct()
+    parts = (found.join(sizes, ["a", "b"]).groupBy("ra", "rb").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("n"))
+             .where("many > 1").select("ra", "rb", F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(
+                 F.col("n") / BLOCK_SHINGLES)).cast("int").alias("parts")))
+    chosen = stored(found.join(parts, ["ra", "rb"]).select(
+        "a", "b", "ra", "rb", "parts", F.col("least.doc_id").alias("its_id"),
+        F.col("least.version").alias("its_version")), "chosen")
+    # repeated rows of a document give its set twice; the document's row carries the class
+    sets = class_sets(docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("its_id"))
+                                & (F.col("version") == F.col("its_version"))).dropDuplicates(["a", "b"]))
+    own = F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int")
+    dealt = (sets.join(chosen.drop("its_id", "its_version"), ["a", "b"]).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("ra", "rb", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                     (F.col("own") > F.col("other")).alias("side"), "a", "b", "set"))
+    return _block_links(dealt)
+
+
+def class_links(docs: DataFrame) -> DataFrame:
+    """All links: (a, b, a2, b2, shared), a row for each pair of classes whose sets
+    link, with the shingles that they share."""
+    return _links(*_classes(docs))
+
+
+def document_links(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles and n_links, the
+    number of other classes (texts of another shingle set) that its class links with.
+    Rows without shingles have none."""
+    docs, rows, found = _classes(docs)
+    links = stored(_links(docs, rows, found), "links")
+    ends = links.select("a", "b").unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b")))
+    counted = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_links"))
+    some = rows.where("n > 0").select("doc_id", "n", "a", "b").join(counted, ["a", "b"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
+                                                       F.lit(0).cast("bigint").alias("n_links")))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op9_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_links(read_table(spark, sf_dir, "documents"))
+
+
 SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -513,3 +626,10 @@ SELECT g.doc_id, len(g.g)::BIGINT AS n_shingles,
        CASE WHEN len(g.g) = 0 THEN g.doc_id ELSE reach.root END AS component_id
 FROM grams g JOIN classes c ON list_sort(g.g) = c.g JOIN reach ON reach.id = c.id
 """
+
+#: The same links, counted for each document.
+LINKS_SQL = SQL[:SQL.index("reach AS (")].rstrip().removesuffix(",") + r"""
+SELECT g.doc_id, len(g.g)::BIGINT AS n_shingles, coalesce(e.n, 0)::BIGINT AS n_links
+FROM grams g JOIN classes c ON list_sort(g.g) = c.g
+LEFT JOIN (SELECT id, count(*) AS n FROM (SELECT u AS id FROM links UNION ALL SELECT v FROM links) GROUP BY id) e ON e.id = c.id
+"""

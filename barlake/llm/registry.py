@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op9_ngram_links": ngram_join.op9_ngram_links,
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
@@ -27,4 +28,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_chat_formatting": chat.SQL,
     "op8_line_dedup": line_dedup.SQL,
     "op9_ngram_join": ngram_join.SQL,
+    "op9_ngram_links": ngram_join.LINKS_SQL,
 }
