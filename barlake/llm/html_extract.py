@@ -7,7 +7,7 @@ are aligned like pages, so a host's pages are folded in a tree of bounded groups
 and no task holds a whole host.
 
 A text that fills the same place on all pages of a host that have it is template text. It is
-left out, as is what stands in elements that hold no article: menus, headers,
+left out, also within an article, as is what stands in elements that hold no article: menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and comments.
 """
 
@@ -305,7 +305,7 @@ def main_text(root: Element, template: set[tuple[str, ...]] = frozenset()) -> st
                 gather(taken, (*path, child.sign), child, out)
                 if parts:
                     out.append(" ")
-            elif (taken or not inside) and (taken or path not in template):
+            elif (taken or not inside) and path not in template:
                 out.append(child)
 
     out: list[str] = []
