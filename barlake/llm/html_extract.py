@@ -2,9 +2,10 @@
 
 The token streams of a host's pages are aligned one after the other. A tag found
 in one stream only becomes optional; tags that come again, or in another order,
-become a repeated group; texts that differ become a text slot. Partial wrappers
-are aligned like pages, so a host's pages are folded in a tree of bounded groups
-and no task holds a whole host.
+become a repeated group; texts that differ become a text slot. A node has one child
+for each sign, so a wrapper is a set of places (paths of signs) with what fills them:
+wrappers of pages are merged as rows (host, place, text) by Spark's aggregates, and
+no task holds a whole host or its wrapper.
 
 A text that fills the same place on all pages of a host that have it is template text. It is
 left out, also within an article, as is what stands in elements that hold no article: menus, headers,
@@ -14,12 +15,10 @@ footers, sidebars, notices, adverts, forms, scripts, styles and comments.
 from __future__ import annotations
 
 import html
-import json
 import operator
 import re
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +26,6 @@ from pyspark.sql import functions as F
 
 from barlake.llm.common import read_table, small_batches, stored, typed
 
-#: Pages, or partial wrappers, that one task aligns for one host at a time.
-FOLD = 256
 #: Pages that a text must fill the same place of to count as template text.
 MIN_PAGES = 3
 #: Elements nested deeper are taken as siblings.
@@ -57,6 +54,7 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)""")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_DIGITS = re.compile(r"\d+")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -149,7 +147,8 @@ def parse(page: str) -> Element:
                     if stack[i].name in ended:
                         del stack[i:]
                         break
-            classes = "".join(f".{v.strip(chr(34) + chr(39))}" for k, v in _ATTRIBUTE.findall(value)
+            # numbers in classes (post-1234) name a page, not a place
+            classes = "".join(f".{_DIGITS.sub('', v.strip(chr(34) + chr(39)))}" for k, v in _ATTRIBUTE.findall(value)
                               if k.lower() == "class") if value else ""
             out = marked(name, value) or name == "header" and not any(e.name in ("article", "main") for e in stack)
             element = Element(name, " ".join(f"{name}{classes}".split()) + "!" * out)
@@ -289,6 +288,23 @@ def template_places(wrapper: list | None) -> set[tuple[str, ...]]:
     return found if differs else set()
 
 
+def place_id(path: tuple[str, ...]) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest("\x1f".join(path)), "big", signed=True)
+
+
+def text_places(wrapper: list) -> Iterator[tuple[tuple[str, ...], str]]:
+    """The places of a page's wrapper that hold text, each with the text's hash."""
+    waiting = [(wrapper, ())]
+    while waiting:
+        node, path = waiting.pop()
+        for nodes, _, _ in node[3]:
+            for n in nodes:
+                if n[0] == "#":
+                    yield path, n[2]
+                else:
+                    waiting.append((n, (*path, n[0])))
+
+
 def main_text(root: Element, template: set[tuple[str, ...]] = frozenset()) -> str:
     """The article's blocks in page order, each with single spaces, joined by a space."""
     inside = _has_article(root)
@@ -319,7 +335,10 @@ def _has_article(element: Element) -> bool:
 
 
 def extract(page: str, template: set[tuple[str, ...]] = frozenset()) -> str:
-    root = parse(page)
+    return _extracted(parse(page), template)
+
+
+def _extracted(root: Element, template: set[tuple[str, ...]]) -> str:
     return main_text(root, template) or (main_text(root) if template else "")
 
 
@@ -332,35 +351,35 @@ def with_host(pages: DataFrame) -> DataFrame:
             .withColumn("version", F.xxhash64("html")))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, pages, wrapper) of pages with a host; the wrapper as JSON.
+PLACE_SCHEMA = "host string, version bigint, place bigint, content bigint"
 
-    Each round aligns at most FOLD wrappers of a host in one task; rounds are
-    repeated until each host has one. Copies of a page count once.
-    """
 
-    def single(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def page_places(pages: DataFrame) -> DataFrame:
+    """(host, version, place, content) of pages with a host: the places of each page's
+    wrapper and the hashes of their texts. Copies of a page count once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [json.dumps(wrapper_of(parse(p or "")), separators=(",", ":")) for p in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("version"), pa.array(made, pa.string())],
-                                             names=["host", "version", "wrapper"])
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        made = align(json.loads(w) for w in group.sort_values("version")["wrapper"])
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "version": [group["version"].min()],
-                             "wrapper": [json.dumps(made, separators=(",", ":"))]})
-
-    schema = "host string, version bigint, wrapper string"
-    found = stored(pages.where("host <> '' and html is not null").select("host", "version", "html")
-                   .mapInArrow(single, schema).dropDuplicates(["host", "version"]), "wrappers")
-    while True:
-        sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
-        if largest <= 1:
-            return found.select("host", "wrapper")
-        parts = F.ceil(F.col("n") / FOLD).cast("int")
-        found = stored(found.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("version", F.lit(largest)), parts))
-                       .groupBy("host", "part").applyInPandas(lambda g: fold(g), schema), "wrappers")
+            rows = []
+            for host, version, page in zip(*(batch.column(c).to_pylist() for c in ("host", "version", "html")), strict=True):
+                rows += [(host, version, place_id(path), int(text, 16) - (1 << 63))
+                         for path, text in text_places(wrapper_of(parse(page)))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, [pa.string()] + [pa.int64()] * 3, strict=True)],
+                names=[x.split()[0] for x in PLACE_SCHEMA.split(", ")])
+
+    return (pages.where("host <> '' and html is not null").select("host", "version", "html")
+            .mapInArrow(run, PLACE_SCHEMA).dropDuplicates(["host", "version", "place"]))
+
+
+def host_template(places: DataFrame) -> DataFrame:
+    """(host, place) as ``template_places`` finds them in the host's aligned wrapper.
+    Aggregates are partial before each shuffle, so a host of many pages costs a task
+    a row for each place."""
+    merged = stored(places.groupBy("host", "place").agg(
+        F.count(F.lit(1)).alias("pages"), (F.min("content") == F.max("content")).alias("alike")), "merged-places")
+    differs = merged.where("not alike").select("host").distinct()
+    return merged.where(F.col("alike") & (F.col("pages") >= MIN_PAGES)).join(differs, "host", "left_semi").select("host", "place")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -376,21 +395,23 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     schema = "page_id bigint, url string, text string, n_chars bigint, host string"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set] = {}
         for batch in batches:
             texts = []
-            for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
-                if wrapper not in known:
-                    if len(known) >= 1024:
-                        known.clear()
-                    known[wrapper] = template_places(json.loads(wrapper) if wrapper else None)
-                texts.append(extract(page or "", known[wrapper]))
+            for page, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
+                root = parse(page or "")
+                ids = set(template or ())
+                taken = {path for path, _ in text_places(wrapper_of(root)) if place_id(path) in ids} if ids else set()
+                texts.append(_extracted(root, taken))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64()), batch.column("host")],
                 names=[x.split()[0] for x in schema.split(", ")])
 
-    return (pages.join(wrappers(pages), "host", "left").select("page_id", "url", "html", "host", "wrapper")
+    places = stored(page_places(pages), "places")
+    # a page's own template places only, however many its host has
+    own = places.join(host_template(places), ["host", "place"]).groupBy("host", "version").agg(
+        F.collect_list("place").alias("template"))
+    return (pages.join(own, ["host", "version"], "left").select("page_id", "url", "html", "host", "template")
             .mapInArrow(run, schema))
 
 

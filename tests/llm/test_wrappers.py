@@ -18,3 +18,21 @@ def test_unmarked_template_text_inside_main(spark):
     got = extracted(spark, rows)
     assert [got[i] for i in range(6)] == [f"{STORY[i]} {STORY[i]} {STORY[-i]}" for i in range(6)]
     assert "Share this story" in got[9]  # one page tells nothing about its host
+
+
+def test_numbers_in_classes_name_no_place(spark):
+    """Every page has classes of its own; the notice is still found in all of them."""
+    rows = [(i, "http://h.example/x", page(i, f'<div class="box-{i}">We moved</div>')) for i in range(6)]
+    got = extracted(spark, rows)
+    assert [got[i] for i in range(6)] == [f"{STORY[i]} {STORY[i]} {STORY[-i]}" for i in range(6)]
+
+
+def test_rows_merge_as_wrappers_align(spark):
+    rows = [(i, f"http://h{i % 2}.example/x", page(i, "<b>x</b>" * (i % 3))) for i in range(10)]
+    df = html_extract.with_host(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    got = {(r.host, r.place) for r in html_extract.host_template(html_extract.page_places(df)).collect()}
+    want = set()
+    for host in range(2):
+        made = html_extract.align(html_extract.wrapper_of(html_extract.parse(h)) for i, _, h in rows if i % 2 == host)
+        want |= {(f"h{host}.example", html_extract.place_id(p)) for p in html_extract.template_places(made)}
+    assert got == want and got
