@@ -31,6 +31,8 @@ WINDOW, STRIDE = 96, 48
 EMBEDDING, HIDDEN, STEPS, BATCH = 12, 16, 160, 64
 #: Windows that are run through the network at once.
 RUN_AT_ONCE = 1024
+#: How central each place of a window is, 1 at its ends.
+_CENTRAL = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1).astype(np.int8)
 
 OUT_SCHEMA = ("doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
               "base_sha256 string, spans string, n_added bigint")
@@ -298,23 +300,19 @@ def tag_texts(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
             windows.append((codes(text), starts))
     out: list[list[Span]] = [[] for _ in texts]
     for (i, starts), (c, _) in zip(places, windows, strict=True):
-        marks: dict[int, tuple[int, int]] = {}
+        # the label of the window that holds a place most centrally, whichever run it is in
+        label_of, central = np.zeros(len(c), np.int8), np.zeros(len(c), np.int8)
         for a in range(0, len(starts), RUN_AT_ONCE):
             part = starts[a:a + RUN_AT_ONCE]
-            path = tagger.decode(cut(c, part))
-            for row, t in zip(*np.nonzero(path), strict=True):
-                at = int(part[row]) + int(t)
-                if at < len(c):
-                    marks.setdefault(at, (0, 0))
-            for at in list(marks):  # the label of the window that holds the place most centrally
-                near = np.flatnonzero((part <= at) & (at < part + WINDOW))
-                for row in near:
-                    edge = min(at - part[row], part[row] + WINDOW - 1 - at)
-                    if edge + 1 > marks[at][0]:
-                        marks[at] = (int(edge) + 1, int(path[row, at - part[row]]))
+            for start, path in zip(part, tagger.decode(cut(c, part)), strict=True):
+                span = slice(int(start), min(int(start) + WINDOW, len(c)))
+                size = span.stop - span.start
+                better = _CENTRAL[:size] > central[span]
+                central[span][better] = _CENTRAL[:size][better]
+                label_of[span][better] = path[:size][better]
         begin = None
-        for at in sorted(k for k, (_, label) in marks.items() if label):
-            label = marks[at][1]
+        for at in np.flatnonzero(label_of).tolist():
+            label = int(label_of[at])
             kind = KINDS[(label - 1) // 2]
             if begin and begin[2] == at and begin[0] == kind and label % 2 == 0:
                 begin[2] = at + 1
