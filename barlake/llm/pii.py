@@ -19,14 +19,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import read_table, small_batches, typed
+from barlake.llm.common import read_table, small_batches, stored, typed
 
 KINDS = ("email", "ip", "card", "phone")
 #: The network is trained on so many distinct documents at most, none longer than this.
 TRAIN_DOCUMENTS, TRAIN_CHARS = 400, 20_000
+#: Of them, those drawn at most for each kind of span.
+KIND_DOCUMENTS = 80
 WINDOW, STRIDE = 96, 48
 EMBEDDING, HIDDEN, STEPS, BATCH = 12, 16, 160, 64
 #: Windows that are run through the network at once.
@@ -337,12 +339,26 @@ def find_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span]
 
 
 def training_texts(docs: DataFrame) -> list[str]:
-    """A bounded sample: of the distinct texts with a digit or an @, the
-    TRAIN_DOCUMENTS with the smallest hashes."""
+    """A bounded sample of distinct texts, TRAIN_DOCUMENTS at most: of those that hold a
+    base span of a kind the KIND_DOCUMENTS with the smallest hashes, for each kind, and
+    the rest from texts with a digit or an @ but without any base span."""
     held = (docs.where(F.length("text") <= TRAIN_CHARS).where(F.col("text").rlike("[0-9@]"))
             .select("text", F.xxhash64("text").alias("h")))
-    chosen = held.select("h").distinct().orderBy("h").limit(TRAIN_DOCUMENTS)
-    return [r.text for r in held.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).orderBy("h").collect()]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = [sum(1 << KINDS.index(k) for k in {k for k, _, _ in base_spans(t)}) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(kinds, pa.int32())], names=["h", "kinds"])
+
+    marked = stored(held.mapInArrow(run, "h bigint, kinds int").distinct(), "kinds")
+
+    def smallest(which: Column, n: int) -> set[int]:
+        return {r.h for r in marked.where(which).orderBy("h").limit(n).collect()}
+
+    chosen = set().union(*(smallest(F.col("kinds").bitwiseAND(1 << i) != 0, KIND_DOCUMENTS) for i in range(len(KINDS))))
+    chosen |= smallest(F.col("kinds") == 0, TRAIN_DOCUMENTS - len(chosen))
+    wanted = docs.sparkSession.createDataFrame([(h,) for h in sorted(chosen)], "h bigint")
+    return [r.text for r in held.join(F.broadcast(wanted), "h").dropDuplicates(["h"]).orderBy("h").collect()]
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
@@ -351,7 +367,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
 
     A null text counts as empty and has no spans. A null doc_id stays null,
     repeated rows each give a row, extra columns are ignored, an empty table
-    gives an empty result. Where no document of the sample has a base span there
+    gives an empty result. Where no document of up to TRAIN_CHARS has a base span there
     is nothing to learn, and the base spans are all.
     """
     spark = docs.sparkSession
