@@ -24,7 +24,7 @@ from barlake.functions.exprs import is_valid_ticker, parse_number, round_places
 from barlake.operators import bronze as bronze_ops  # noqa: E402
 from barlake.operators import checks, contracts, gold as gold_ops, silver as silver_ops  # noqa: E402
 from barlake.operators.bi import top_symbols_last_dates  # noqa: E402
-from barlake.operators.warehouse import fact_monthly  # noqa: E402
+from barlake.operators.warehouse import fact_monthly, fact_yearly  # noqa: E402
 from barlake.plans.lakehouse import FIXTURE_WINDOW, Lakehouse  # noqa: E402
 from barlake.plans.medallion import MedallionConfig, run_medallion  # noqa: E402
 from barlake.session import checkpoint_dir, fresh_path  # noqa: E402
@@ -307,6 +307,12 @@ def q_fact_monthly_plain(spark, d):
     return fact_monthly(lh.fact, lh.dim_date, places=6)
 
 
+def q_fact_yearly_plain(spark, d):
+    """Over monthly averages at 10 decimals: rounded to 6 they would tie in the yearly mean."""
+    lh = _plain(spark, d)
+    return fact_yearly(fact_monthly(lh.fact, lh.dim_date, places=10), places=6)
+
+
 def q_top_symbols_plain(spark, d):
     lh = _plain(spark, d)
     return top_symbols_last_dates(lh.fact, lh.dim_date, lh.dim_symbol, places=6)
@@ -386,6 +392,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_ma_5_plain": q_gold_plain("ma_5"),
         "gold_ma_20_plain": q_gold_plain("ma_20"),
         "fact_monthly_plain": q_fact_monthly_plain,
+        "fact_yearly_plain": q_fact_yearly_plain,
         "bi_top_symbols_30d_plain": q_top_symbols_plain,
         "bi_volume_top_5": q_bi_volume_top,
         "contract_report_broken": q_contract_broken,

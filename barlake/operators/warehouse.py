@@ -146,12 +146,13 @@ def fact_monthly(fact: DataFrame, dates: DataFrame, *, price_decimals: int | Non
     )
 
 
-def fact_yearly(monthly: DataFrame, *, exact: bool = False) -> DataFrame:
+def fact_yearly(monthly: DataFrame, *, exact: bool = False, places: int | None = None) -> DataFrame:
     """Yearly roll-up FROM the monthly fact: day-weighted mean of the rounded
     monthly close, unweighted means of the monthly return / MAs, sums.
 
     ``exact``: the monthly values are already rounded to 2 / 4 places, so they
-    are read back as integers of those units and averaged exactly.
+    are read back as integers of those units and averaged exactly. Else ``places``
+    replaces the reported decimals.
     """
     days = F.col("trading_days")
     if exact:
@@ -166,10 +167,10 @@ def fact_yearly(monthly: DataFrame, *, exact: bool = False) -> DataFrame:
         ma20 = mean("avg_ma_20", MA_PLACES)
     else:
         close = round_places(F.sum(F.col("avg_close_price") * days) /
-                             F.nullif(F.sum(days), F.lit(0)), CLOSE_PLACES)
-        ret = round_places(F.avg("avg_daily_return"), RETURN_PLACES)
-        ma5 = round_places(F.avg("avg_ma_5"), MA_PLACES)
-        ma20 = round_places(F.avg("avg_ma_20"), MA_PLACES)
+                             F.nullif(F.sum(days), F.lit(0)), places or CLOSE_PLACES)
+        ret = round_places(F.avg("avg_daily_return"), places or RETURN_PLACES)
+        ma5 = round_places(F.avg("avg_ma_5"), places or MA_PLACES)
+        ma20 = round_places(F.avg("avg_ma_20"), places or MA_PLACES)
     return monthly.groupBy("symbol_key", "year").agg(
         close.alias("avg_close_price"),
         ret.alias("avg_daily_return"),
