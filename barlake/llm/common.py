@@ -34,6 +34,31 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+#: A key is hot where it holds more than one in HOT_KEYS of the rows, so fewer than
+#: HOT_KEYS keys are; its rows are dealt out over SALTS tasks.
+HOT_KEYS, SALTS = 1000, 64
+
+
+def looked_up(left: DataFrame, right: DataFrame, key: str, count: str, how: str = "left") -> DataFrame:
+    """Joins ``right``'s columns to ``left`` on ``key``; column ``count`` of ``right``
+    says how many rows of ``left`` hold the key, and isn't returned.
+
+    Hot keys are named in a broadcast of fewer than HOT_KEYS rows, their rows of
+    ``left`` are dealt out by position and those of ``right`` repeated, so that no
+    task joins more than a SALTS-th of a hot key. ``left`` must read files or
+    shuffled rows of a fixed order, as positions must be the same when a task
+    runs again. A null key joins nothing."""
+    total = right.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) * HOT_KEYS > F.lit(total)
+    hot = right.where(is_hot).select(F.col(key).alias("_hot")).distinct()
+    dealt = (left.withColumn("_spot", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+             .join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+             .withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.col("_spot")).otherwise(0)).drop("_spot", "_hot"))
+    repeated = right.withColumn("_salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop(count)
+    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: lineage is cut
     with files that every executor sees."""

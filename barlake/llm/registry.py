@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import (bpe, chat, decontam, html_extract, langid, license_scan, line_dedup, ngram_join, pii,
-                         quality)
+from barlake.llm import (alignment, bpe, chat, decontam, html_extract, langid, license_scan, line_dedup, ngram_join,
+                         pii, quality, url_filter, vector_codes)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -21,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op9_ngram_links": ngram_join.op9_ngram_links,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op11_tokenizer_alignment": alignment.op11_tokenizer_alignment,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_url_filter": url_filter.op13_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -29,4 +32,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": line_dedup.SQL,
     "op9_ngram_join": ngram_join.SQL,
     "op9_ngram_links": ngram_join.LINKS_SQL,
+    "op12_vector_codes": vector_codes.SQL,
+    "op13_url_filter": url_filter.SQL,
 }
