@@ -263,7 +263,7 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _round_sql(k: int) -> str:
     return f"""
 near{k} AS MATERIALIZED (
-  SELECT rid, part, min(list_sum(list_transform(list_zip(p.v, b.v), z -> (z[1] - z[2]) * (z[1] - z[2]))) * {ENTRIES} + entry) AS best
+  SELECT rid, part, min(list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * {ENTRIES} + entry) AS best
   FROM parts AS p JOIN book{k} AS b USING (part) GROUP BY rid, part),
 mean{k} AS MATERIALIZED (
   SELECT part, entry, list((s - ((s % c) + c) % c) // c ORDER BY place) AS v FROM (
@@ -277,15 +277,15 @@ book{k + 1} AS MATERIALIZED (
 SQL = f"""
 WITH kept AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS rid, vec_id, label,
-         list_transform(embedding, x -> floor(x::DOUBLE * {SCALE})::BIGINT) AS v
-  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+         list_transform(embedding, lambda x: floor(x::DOUBLE * {SCALE})::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 parts AS MATERIALIZED (
   SELECT rid, part, v[part * (len(v) // {PARTS}) + 1 : (part + 1) * (len(v) // {PARTS})] AS v
   FROM kept, range({PARTS}) AS r(part)),
 book0 AS MATERIALIZED (SELECT part, rid AS entry, v FROM parts WHERE rid < {ENTRIES}),
 {"".join(map(_round_sql, range(ROUNDS)))}
 last AS MATERIALIZED (
-  SELECT rid, part, min(list_sum(list_transform(list_zip(p.v, b.v), z -> (z[1] - z[2]) * (z[1] - z[2]))) * {ENTRIES} + entry) AS best
+  SELECT rid, part, min(list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * {ENTRIES} + entry) AS best
   FROM parts AS p JOIN book{ROUNDS} AS b USING (part) GROUP BY rid, part),
 coded AS (SELECT rid, string_agg(printf('%02x', best % {ENTRIES}), '' ORDER BY part) AS code, sum(best // {ENTRIES})::BIGINT AS error
           FROM last GROUP BY rid),
