@@ -244,12 +244,8 @@ def q_bronze_json_rows(spark, d):
 def q_bronze_manifest(spark, d):
     lh = _lh(spark, d)
     path = fresh_path(spark, "bronze")
-    frame = lh.bronze.drop("ingest_seq")
-    layers.save_bronze(frame, path, lh.run_date, fmt="json")
-    text = frame.select(*[F.col(f.name).cast("string" if f.name == "trading_date" else f.dataType)
-                          for f in frame.schema.fields]).schema
-    return tables.partition_manifest(spark, path, "data_date", fmt="json", schema=text.add("data_date", "date").add(
-        layers.VENUE, "string"))
+    layers.save_bronze(lh.bronze.drop("ingest_seq"), path, lh.run_date, fmt="json")
+    return tables.partition_manifest(spark, path, "data_date")
 
 
 def q_silver_manifest(spark, d):

@@ -97,7 +97,7 @@ def bronze_bars(
         df = with_trading_date(df, formats)
         reason = reject_reason(start, end)
         df = df.observe(rejects, F.count(F.lit(1)).alias("landed"), *[
-            F.count_if(reason == name).alias(name) for name in REJECT_REASONS])
+            F.count_if(reason == name).alias(name) for name in REJECT_REASONS], unreadable_sample(df))
     df = df.where(is_valid_ticker(F.col("symbol")))
     if listing is not None:
         df = universe_semi_join(df, listing)
@@ -145,6 +145,24 @@ def reject_reason(start: str | None, end: str | None) -> Column:
     return reason.otherwise(F.lit("kept"))
 
 
+UNREADABLE_SAMPLE = 5
+
+
+def unreadable_sample(df: DataFrame) -> Column:
+    """An aggregate of at most UNREADABLE_SAMPLE texts no day can be read from: the
+    smallest of each hash class, so that a write can observe it."""
+    text = F.coalesce(F.col(_date_source_column(df)).cast("string"), F.lit("None"))
+    kind = F.pmod(F.xxhash64(text), F.lit(UNREADABLE_SAMPLE))
+    bad = is_valid_ticker(F.col("symbol")) & F.col("trading_date").isNull()
+    return F.array(*[F.min(F.when(bad & (kind == k), text)) for k in range(UNREADABLE_SAMPLE)]).alias("unreadable")
+
+
+def check_days(days: Sequence[str], start_date: str, end_date: str) -> None:
+    """The range rule over the days that a write observed."""
+    if days and (days[0] < start_date or days[-1] > end_date):
+        raise AssertionError(f"bronze holds days {days[0]} to {days[-1]}, beyond its window")
+
+
 def unreadable_days(raw: DataFrame, limit: int = 5) -> list[str]:
     """Up to ``limit`` distinct texts no day can be read from."""
     text = F.coalesce(F.col(_date_source_column(raw)).cast("string"), F.lit("None")).alias("value")

@@ -1,10 +1,10 @@
 """End-to-end jobs.
 
 ``run_medallion`` (M1): landed bars -> bronze table -> silver table (contract
-gate) -> gold table (contract gate), each layer written by day and venue with
-dynamic partition overwrite (idempotent re-runs) and read back from storage,
-so every layer boundary cuts lineage at a file on shared storage and a lost
-executor only recomputes from the last written layer.
+gate) -> gold table (contract gate). Each layer is staged as a file group, checked
+as staged and published by its manifest, so bytes are written once, re-runs
+replace the days and venues they bring, and every layer boundary cuts lineage at
+files on shared storage: a lost executor only recomputes from the last layer.
 
 ``build_warehouse`` (M13): gold table -> view -> dimensions -> facts ->
 integrity report -> BI reports, with the dimension and fact tables written
@@ -19,14 +19,14 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barlake.functions.exprs import strip_upper
 from barlake.operators import bi, bronze, checks, contracts, gold, silver, warehouse
+from barlake.operators.tails import Tails
 from barlake.sinks import layers, tables
+from barlake.sinks.snapshots import SnapshotTable, Staged, observed
 
 log = logging.getLogger(__name__)
 
@@ -41,107 +41,96 @@ class MedallionConfig:
     source: str = silver.DEFAULT_SOURCE
     strict: bool = True
     write_mode: str = "dynamic_overwrite"
-    bronze_format: str = "parquet"  # "json" = one JSON folder per day
+    bronze_format: str = "parquet"  # or "json"
     price_decimals: int | None = None
 
     def path(self, layer: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{layer}"
 
 
-def _json_bronze_schema(schema: T.StructType) -> T.StructType:
-    """Bronze JSON carries days as text; the partition columns stay typed."""
-    return T.StructType([
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) and f.name != "data_date"
-                      else f.dataType) for f in schema.fields])
-
-
-def _partitioned_schema(schema: T.StructType, day: str) -> T.StructType:
-    """The written frame's schema with its partition columns at the end."""
-    keep = [f for f in schema.fields if f.name not in (day, layers.VENUE)]
-    return T.StructType([*keep, T.StructField(day, T.DateType()), T.StructField(layers.VENUE, T.StringType())])
-
-
-def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """A layer written by earlier runs, None before the first."""
-    try:
-        return tables.read_layer(spark, path, schema=schema)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
                   listing: DataFrame | None = None,
                   batch_ts: dt.datetime | None = None) -> dict:
     """Run bronze -> silver -> gold for one window; returns per-layer stats.
 
-    Each layer is computed once: silver and gold are staged, validated as
-    staged, then published. A layer reads exactly the partitions (day, venue) that
-    this run wrote below it, so days left by earlier runs don't come back, and a
-    run over some venues leaves the others' partitions alone. Gold reads each
-    series' preceding rows from the stored gold, so a short window gets the same
-    values as a full rebuild. Rows of days after the window aren't rewritten.
+    A layer is built from exactly the rows this run wrote below it, so days left
+    by earlier runs don't come back, and a run over some venues leaves the others'
+    rows alone. Counts, day range, samples of unreadable days and written keys are
+    observed by the writes: no layer is scanned for them. Gold takes each series'
+    preceding rows from its tails (``operators.tails``), so a short window gets the
+    same values as a full rebuild. Rows of days after the window aren't rewritten.
 
     Without bars to keep the status is ``no_rows``, without gold rows
-    ``no_gold``; a contract violation raises when ``cfg.strict``.
+    ``no_gold``; a contract violation raises when ``cfg.strict``, before the layer's
+    new rows are published.
     """
     run_date = cfg.run_date or dt.date.today()
     stats: dict = {"run_date": run_date.isoformat(), "status": "no_rows"}
-    staging = f"{cfg.path('_staging')}/{uuid.uuid4().hex}"
 
     # bronze
     rejects = Observation(f"rejects_{uuid.uuid4().hex}")
     b = bronze.bronze_bars(raw, cfg.start_date, cfg.end_date, exchanges=cfg.exchanges,
                            listing=listing, run_date=run_date, rejects=rejects)
-    written = layers.save_bronze(b, cfg.path("bronze"), run_date, fmt=cfg.bronze_format, mode=cfg.write_mode)
-    seen = tables.observed(rejects)
+    staged = layers.stage(b, cfg.path("bronze"), layers.BRONZE, fmt=cfg.bronze_format)
+    seen = observed(rejects)
     if not seen:  # an empty result leaves the plan without its observation: count by itself
         served = raw if cfg.exchanges is None else raw.where(strip_upper(F.col("exchange")).isin(list(cfg.exchanges)))
         seen = {r["reason"]: r["rows"] for r in bronze.bronze_rejects(served, cfg.start_date, cfg.end_date).collect()}
         seen["landed"] = sum(seen.values())
+        if seen.get("invalid_date"):
+            seen["unreadable"] = bronze.unreadable_days(served)
     stats["landed_rows"] = seen.get("landed") or 0
     stats["rejected"] = {name: seen.get(name) or 0 for name in bronze.REJECT_REASONS}
     if stats["rejected"]["invalid_date"]:
-        stats["unreadable_days"] = bronze.unreadable_days(raw)
+        stats["unreadable_days"] = sorted(x for x in seen.get("unreadable") or [] if x is not None)
         log.warning("bronze: %s rows without a readable day, such as %s",
                     stats["rejected"]["invalid_date"], stats["unreadable_days"])
-    if written is None:
+    bronze.check_days(staged.days(), cfg.start_date, cfg.end_date)
+    if layers.publish(staged, layers.BRONZE, run_date, mode=cfg.write_mode) is None:
         return stats
-    stats["bronze_rows"], stats["bronze_keys"] = written["rows"], written["keys"]
-    schema = _partitioned_schema(T.StructType([*b.schema.fields]), "data_date")
-    stored = tables.read_layer(spark, cfg.path("bronze"), cfg.bronze_format,
-                               schema=schema if cfg.bronze_format == "parquet" else _json_bronze_schema(schema))
-    stored = tables.only_written(stored, ("data_date", layers.VENUE), written["keys"])
-    stored = stored.withColumn("trading_date", F.col("data_date")).drop("data_date", layers.VENUE)
-    bronze.assert_bronze_range(stored)
+    stats["bronze_rows"], stats["bronze_keys"] = staged.rows, staged.keys
+    stored = staged.read().withColumn("trading_date", F.col("data_date")).drop("data_date", layers.VENUE)
 
     # silver
-    s = tables.materialize(silver.silver_bars(stored, source=cfg.source, batch_ts=batch_ts), f"{staging}/silver")
-    stats["silver_violations"] = contracts.validate(s, contracts.SILVER_CONTRACT, strict=cfg.strict)
-    written = layers.save_silver(s, cfg.path("silver"), run_date, mode=cfg.write_mode)
-    stats["silver_rows"], stats["silver_keys"] = (written["rows"], written["keys"]) if written else (0, [])
+    usable = F.count_if(F.col("close_price").isNotNull() & F.col("volume").isNotNull())
+    staged = layers.stage(silver.silver_bars(stored, source=cfg.source, batch_ts=batch_ts), cfg.path("silver"),
+                          layers.SILVER, measures={"usable": usable})
+    s = staged.read()
+    stats["silver_violations"] = _validated(staged, contracts.SILVER_CONTRACT, cfg.strict)
+    layers.publish(staged, layers.SILVER, run_date, mode=cfg.write_mode)
+    stats["silver_rows"], stats["silver_keys"] = staged.rows, staged.keys
     stats["silver_dropped"] = stats["bronze_rows"] - stats["silver_rows"]
+    usable_rows = staged.measures["usable"] or 0
+    stats["gold_null_dropped"] = stats["silver_rows"] - usable_rows
+    if not usable_rows:
+        stats["gold_violations"], stats["status"] = [], "no_gold"
+        return stats
 
     # gold
-    gold_schema = _partitioned_schema(gold.GOLD_SCHEMA, "trading_date")
-    earlier = _existing(spark, cfg.path("gold"), gold_schema)
-    history = None if earlier is None else gold.look_back(earlier, cfg.start_date)
-    g = tables.materialize(gold.gold_bars(s, price_decimals=cfg.price_decimals, history=history, since=cfg.start_date),
-                           f"{staging}/gold")
-    usable = s.where(F.col("close_price").isNotNull() & F.col("volume").isNotNull()).count()
-    stats["gold_null_dropped"] = stats["silver_rows"] - usable
-    stats["gold_violations"] = contracts.validate(g, contracts.GOLD_CONTRACT, strict=cfg.strict) if usable else []
-    written = layers.save_gold(g, cfg.path("gold"), run_date=run_date, mode=cfg.write_mode) if usable else None
-    if written is None:
-        stats["status"] = "no_gold"
-        return stats
-    stats["gold_rows"], stats["gold_keys"] = written["rows"], written["keys"]
-    stats["duplicates_removed"] = usable - written["rows"]
+    table = SnapshotTable(spark, cfg.path("gold"), layers.GOLD.day_column, (layers.VENUE,))
+    before, tails = table.current(), Tails(table)
+    history = tails.history(dt.date.fromisoformat(cfg.start_date))
+    g = gold.gold_bars(s, price_decimals=cfg.price_decimals, history=history, since=cfg.start_date)
+    staged = layers.stage(g, cfg.path("gold"), layers.GOLD)
+    stats["gold_violations"] = _validated(staged, contracts.GOLD_CONTRACT, cfg.strict)
+    layers.publish(staged, layers.GOLD, run_date, mode=cfg.write_mode)
+    tails.update(staged.days(), before and before.version)
+    stats["gold_rows"], stats["gold_keys"] = staged.rows, staged.keys
+    stats["duplicates_removed"] = usable_rows - staged.rows
     stats["status"] = "ok"
     return stats
 
 
+def _validated(staged: Staged, contract: contracts.Contract, strict: bool) -> list[dict]:
+    """The contract's violations in staged rows; rows that it refuses are discarded,
+    and the layer stays as it was."""
+    try:
+        return contracts.validate(staged.read(), contract, strict=strict)
+    except ValueError:
+        staged.discard()
+        raise
+
+
 def build_warehouse(spark: SparkSession, gold_table: DataFrame, warehouse_root: str, *,
                     price_decimals: int | None = None) -> dict[str, DataFrame]:
     """Dimensions and facts written under ``warehouse_root`` (replaced on

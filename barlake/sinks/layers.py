@@ -1,22 +1,24 @@
 """Bronze, silver and gold sinks: one writer with a gate per layer.
 
 A gate names the day column's candidates, the columns a layer must have and the
-order of rows in its files. Every write is partitioned by day and venue, so a
-run over some venues replaces theirs alone; it returns the partitions it wrote
-and leaves a row in the layer's run manifest.
+order of rows in its files. A layer is a snapshot table keyed by day and venue, so
+a run over some venues replaces theirs alone. A write is staged first and can be
+read and checked before it's published; publishing moves no bytes.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.exprs import TEMPORAL_TYPES, col_type, first_present, strip_upper
 from barlake.sinks import tables
+from barlake.sinks.snapshots import SnapshotTable, Staged
 
 log = logging.getLogger(__name__)
 
@@ -36,15 +38,14 @@ BRONZE = Layer("bronze", "data_date", DAY_COLUMN_CANDIDATES)
 SILVER = Layer("silver", "trading_date", DAY_COLUMN_CANDIDATES, ("trading_date", "symbol"))
 GOLD = Layer("gold", "trading_date", ("trading_date",), ("symbol", "trading_date", "close_price", "volume"),
              ("symbol", "exchange"))
-VENUE = "venue"  # clean venue code: the partition below the day
+VENUE = "venue"  # clean venue code: the key below the day
 # ---------------------------------------------------------------------------
 
 
-def save(df: DataFrame, path: str, layer: Layer, run_date: dt.date | None, *, fmt: str = "parquet",
-         mode: str = "dynamic_overwrite") -> dict | None:
-    """Write one layer; None when it had no rows (known from the write itself, not
-    from a pass before it). The day column is the first candidate present; it
-    must be temporal and is never coerced from text."""
+def stage(df: DataFrame, path: str, layer: Layer, *, fmt: str = "parquet",
+          measures: Mapping[str, Column] | None = None) -> Staged:
+    """Write one layer's rows without publishing them. The day column is the first
+    candidate present; it must be temporal and is never coerced from text."""
     day = first_present(df, layer.day_candidates)
     if day is None:
         raise ValueError(f"{layer.name}: no day column among {list(layer.day_candidates)}")
@@ -57,17 +58,32 @@ def save(df: DataFrame, path: str, layer: Layer, run_date: dt.date | None, *, fm
     below = ()
     if "exchange" in df.columns:
         df, below = df.withColumn(VENUE, strip_upper(F.col("exchange").cast("string"))), (VENUE,)
-    result = tables.write_partitioned(df, path, layer.day_column, mode=mode, fmt=fmt,
-                                      required_columns=list(layer.required) or None,
-                                      sort_cols=[c for c in layer.sort if c in df.columns],
-                                      extra_partition_cols=below)
-    if not result["rows"]:
+    tables.check_sink_schema(df, layer.day_column, list(layer.required) or None)
+    table = SnapshotTable(df.sparkSession, path, layer.day_column, below, fmt)
+    return table.stage(df, [c for c in layer.sort if c in df.columns], measures)
+
+
+def publish(staged: Staged, layer: Layer, run_date: dt.date | None, *, mode: str = "dynamic_overwrite") -> dict | None:
+    """Make staged rows part of the layer and leave a row in its run manifest; None
+    (and no new version) when there are none."""
+    if not staged.rows:
+        staged.discard()
         log.warning("%s: nothing to write", layer.name)
         return None
-    tables.record_run(df.sparkSession, path.rstrip("/") + "_run_manifest", layer.name, run_date, result)
+    path = staged.table.path
+    version = staged.table.publish(staged, mode)
+    result = {"rows": staged.rows, "path": path, "keys": staged.keys, "version": version}
+    tables.record_run(staged.table.spark, path + "_run_manifest", layer.name, run_date, result)
     return result
 
 
+def save(df: DataFrame, path: str, layer: Layer, run_date: dt.date | None, *, fmt: str = "parquet",
+         mode: str = "dynamic_overwrite") -> dict | None:
+    """Stage and publish one layer; None when it had no rows (known from the write
+    itself, not from a pass before it)."""
+    return publish(stage(df, path, layer, fmt=fmt), layer, run_date, mode=mode)
+
+
 def save_bronze(df: DataFrame, path: str, run_date: dt.date | None, *, fmt: str = "parquet",
                 mode: str = "dynamic_overwrite") -> dict | None:
     """Bronze keeps its own day column and adds ``data_date``; Parquet, or JSON

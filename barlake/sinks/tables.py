@@ -2,7 +2,8 @@
 
 Writes go through one function, ``write_partitioned``:
 
-* day-partitioned layout (``<col>=YYYY-MM-DD``);
+* day-partitioned layout (``<col>=YYYY-MM-DD``); the layers of the job use file
+  groups under a manifest instead (``snapshots``);
 * ``REBALANCE`` on the partition column before the write: AQE splits a hot
   day into several tasks (a day holding a third of all rows does not land in
   one task) and coalesces small ones, so files stay few and sized;
@@ -17,12 +18,12 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.functions.exprs import TEMPORAL_TYPES
+from barlake.sinks.snapshots import SnapshotTable, is_table, observed, render_dates_as_text
 
 WRITE_MODES = ("dynamic_overwrite", "append", "overwrite")
 FORMATS = ("parquet", "json")
@@ -43,27 +44,6 @@ def check_sink_schema(df: DataFrame, partition_col: str,
         raise AssertionError(f"{partition_col!r} partitions by day and can't be {dtype}")
 
 
-def render_dates_as_text(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Temporal columns as ``yyyy-MM-dd`` text (JSON payload contract), but for
-    those in ``keep``; other columns untouched."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, TEMPORAL_TYPES) and f.name not in keep:
-            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
-
-
-def observed(observation: Observation) -> dict:
-    """What was observed; nothing where the optimizer found the input empty and
-    ran no plan with the observation in it."""
-    try:
-        return observation.get
-    except Py4JJavaError:
-        return {}
-
-
 def write_partitioned(df: DataFrame, path: str, partition_col: str, *,
                       mode: str = "dynamic_overwrite", fmt: str = "parquet",
                       required_columns: Sequence[str] | None = None,
@@ -105,20 +85,12 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, *,
             "keys": sorted((tuple(k) for k in seen.get("keys") or []), key=lambda k: tuple(x or "" for x in k))}
 
 
-def only_written(table: DataFrame, partition_cols: Sequence[str], keys: Sequence[tuple]) -> DataFrame:
-    """The rows of the given partitions of a table; other days aren't read, and
-    partitions left by earlier runs stay out."""
-    spark = table.sparkSession
-    names = [f"_k{i}" for i in range(len(partition_cols))]
-    wanted = spark.createDataFrame([tuple(k) for k in keys], ", ".join(f"{n} string" for n in names))
-    days = sorted({k[0] for k in keys if k[0] is not None})
-    same = [F.col(c).cast("string").eqNullSafe(F.col(n)) for c, n in zip(partition_cols, names, strict=True)]
-    pruned = table.where(F.col(partition_cols[0]).between(F.lit(days[0]).cast("date"), F.lit(days[-1]).cast("date")))
-    return pruned.join(F.broadcast(wanted), same, "left_semi")
-
-
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None) -> DataFrame:
+    """A table's rows: those of the newest snapshot where the path has a manifest
+    (which knows format and schema), else all files under it."""
+    if is_table(spark, path):
+        return SnapshotTable(spark, path).read()
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
@@ -163,16 +135,14 @@ def record_run(spark: SparkSession, manifest_path: str, layer: str,
 def materialize(df: DataFrame, path: str, month_of: str | None = None,
                 sort: Sequence[str] = ()) -> DataFrame:
     """Write a table (replace on rebuild) and return a frame reading it back:
-    lineage is cut at a file on shared storage. ``month_of`` clusters the rows by
-    the month of that day column, sorted by day, so that a filter on the day
-    leaves most files and row groups unread."""
-    if month_of is None:
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-    month = F.trunc(month_of, "month").alias("_month")
-    (df.select("*", month).hint("rebalance", "_month").sortWithinPartitions("_month", month_of, *sort)
-       .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_month").parquet(path))
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    lineage is cut at files on shared storage. The new files are complete before
+    the manifest switches to them, and a frame of the version before goes on
+    reading its own; a failed rebuild changes nothing. ``month_of`` clusters the
+    rows by the month of that day column, sorted by day, so that a filter on the
+    day leaves most files and row groups unread."""
+    table = SnapshotTable(df.sparkSession, path, month_of)
+    table.publish(table.stage(df, sort), "overwrite")
+    return table.read()
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
