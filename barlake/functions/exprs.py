@@ -6,6 +6,7 @@ whole-stage codegen and run on the executors.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +18,10 @@ from pyspark.sql import types as T
 TICKER_PATTERN = r"\A[A-Z0-9]{3}\z"
 # Lenient number text: optional sign, digits with optional fraction (or a
 # bare fraction) and optional exponent, with surrounding blanks allowed; or a
-# signed infinity word with no blanks.
+# signed infinity word with no blanks. The group is the number without blanks.
 NUMBER_PATTERN = (
-    r"(?i)\A\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*\z"
-    r"|\A[+-]?inf(inity)?\z"
+    r"(?i)\A(?:\s*(?=[+-]?[\d.]))?"
+    r"([+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?(?=\s*\z)|inf(?:inity)?(?=\z)))\s*\z"
 )
 # A time of day with an optional zone may follow a day; the day is the written
 # one, whatever the zone.
@@ -85,7 +86,7 @@ def nan_to_null(c: Column) -> Column:
 def parse_number(df: DataFrame, name: str) -> Column:
     """Lenient text-to-double: unparseable -> null (never an ANSI error).
 
-    Numeric columns only lose NaN. Text is gated by ``NUMBER_PATTERN`` first
+    Numeric columns only lose NaN. Only what ``NUMBER_PATTERN`` matches is cast,
     because Spark's cast also accepts forms such as ``'1d'`` or ``'1f'``.
     """
     dtype = col_type(df, name)
@@ -98,20 +99,30 @@ def parse_number(df: DataFrame, name: str) -> Column:
 
 
 def lenient_number(c: Column) -> Column:
-    """Number of a text of ``NUMBER_PATTERN``, else null."""
-    text = c.cast("string")
-    return nan_to_null(F.when(text.rlike(NUMBER_PATTERN), strip(text).try_cast("double")))
+    """Number of a text of ``NUMBER_PATTERN``, else null (no match gives an empty
+    text): one match, one cast, the text named once."""
+    return nan_to_null(F.regexp_extract(c.cast("string"), NUMBER_PATTERN, 1).try_cast("double"))
+
+
+def _any_layout() -> tuple[str, str]:
+    """One pattern of all declared layouts, and of any other text, with the
+    replacement that writes year-month-day: groups of layouts that don't match
+    are empty, so another text becomes ``--``."""
+    alternatives, written, before = [], ("", "", ""), 0
+    for pattern, groups in DATE_LAYOUTS.items():
+        alternatives.append(pattern.removeprefix(r"\A").removesuffix(r"\z"))
+        written = tuple(f"{w}${before + g}" for w, g in zip(written, groups))
+        before += re.compile(alternatives[-1]).groups
+    return r"(?s)\A(?:" + "|".join(alternatives) + r"|.*)\z", "-".join(written)
 
 
 def parse_text_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Day of a text date/time, null when unparseable. The declared layouts are
-    told apart by pattern, so at most one of them is parsed; ``formats`` are
-    tried in order for other texts (``coalesce`` is lazy)."""
+    """Day of a text date/time, null when unparseable. All declared layouts are one
+    match that writes the day as year-month-day, read by one cast; ``formats``
+    are tried in order for other texts (``coalesce`` is lazy)."""
     stripped = strip(text)
-    day = None
-    for pattern, groups in DATE_LAYOUTS.items():
-        parts = F.concat_ws("-", *[F.regexp_extract(stripped, pattern, g) for g in groups]).try_cast("date")
-        day = F.when(stripped.rlike(pattern), parts) if day is None else day.when(stripped.rlike(pattern), parts)
+    pattern, written = _any_layout()
+    day = F.regexp_replace(stripped, F.lit(pattern), F.lit(written)).try_cast("date")
     others = [F.to_date(F.try_to_timestamp(stripped, F.lit(fmt))) for fmt in formats]
     return F.coalesce(day, *others) if others else day
 

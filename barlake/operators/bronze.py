@@ -14,9 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.functions.exprs import (
-    DATE_FORMATS, WINDOW_DATE_PATTERN, first_present, is_valid_ticker, parse_date, strip_upper,
+    DATE_FORMATS, WINDOW_DATE_PATTERN, col_type, first_present, is_valid_ticker, parse_date, strip_upper,
 )
 
 # --- fixed values ------------------------------------------------------------
@@ -95,19 +96,23 @@ def bronze_bars(
         df = df.where(strip_upper(F.col("exchange")).isin(list(exchanges)))
     if rejects is not None:
         df = with_trading_date(df, formats)
-        reason = reject_reason(start, end)
-        df = df.observe(rejects, F.count(F.lit(1)).alias("landed"), *[
-            F.count_if(reason == name).alias(name) for name in REJECT_REASONS], unreadable_sample(df))
+        df = df.withColumn("_reason", reject_reason(start, end)).observe(
+            rejects, F.count(F.lit(1)).alias("landed"),
+            *[F.count_if(F.col("_reason") == name).alias(name) for name in REJECT_REASONS], unreadable_sample(df)).drop("_reason")
     df = df.where(is_valid_ticker(F.col("symbol")))
     if listing is not None:
         df = universe_semi_join(df, listing)
-    if rejects is None:
-        df = with_trading_date(df, formats)
-    if start is None:
-        df = df.where(F.col("trading_date").isNotNull())
+    def inside(day: Column) -> Column:
+        return day.isNotNull() if start is None else day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+
+    if rejects is None and isinstance(col_type(df, _date_source_column(df)), T.StringType):
+        # a generator: the parse is one expression, evaluated once for filter and column
+        parsed = parse_date(df, _date_source_column(df), formats)
+        df = df.withColumn("trading_date", F.explode(F.filter(F.array(parsed), inside)))
     else:
-        df = df.where(F.col("trading_date").between(F.lit(start).cast("date"),
-                                                    F.lit(end).cast("date")))
+        if rejects is None:
+            df = with_trading_date(df, formats)
+        df = df.where(inside(F.col("trading_date")))
     run_value = F.lit(run_date.isoformat()) if run_date else F.lit(None).cast("string")
     return df.select(
         "*",
@@ -153,7 +158,7 @@ def unreadable_sample(df: DataFrame) -> Column:
     smallest of each hash class, so that a write can observe it."""
     text = F.coalesce(F.col(_date_source_column(df)).cast("string"), F.lit("None"))
     kind = F.pmod(F.xxhash64(text), F.lit(UNREADABLE_SAMPLE))
-    bad = is_valid_ticker(F.col("symbol")) & F.col("trading_date").isNull()
+    bad = F.col("_reason") == "invalid_date"
     return F.array(*[F.min(F.when(bad & (kind == k), text)) for k in range(UNREADABLE_SAMPLE)]).alias("unreadable")
 
 

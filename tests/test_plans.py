@@ -74,3 +74,16 @@ def test_contract_shuffles_the_key_only(spark):
                                      )._jdf.queryExecution().executedPlan().toString()
     exchanged = [x for x in plan.splitlines() if "Exchange hashpartitioning(symbol" in x]
     assert exchanged and "close_price" not in "".join(exchanged)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_are_matched_once(spark):
+    lh = Lakehouse(spark, SF_SMALL)
+    bronze, silver = _optimized(lh.bronze), _optimized(lh.silver)
+    # one match for all day layouts; the fixture's own date_format twice, as it's written
+    assert bronze.count("regexp_replace(") == silver.count("regexp_replace(") == 1 and bronze.count("date_format(") == 2
+    # five number columns, and close once more in the filter below the joins
+    assert silver.count("regexp_extract(") == 6 and silver.count("RLIKE(") == 1
