@@ -55,18 +55,18 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 def deduplicated(docs: DataFrame, min_sites: int = MIN_SITES, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): the text without
     boilerplate lines, the number of lines, of those removed, and the columns
-    named in ``carry``.
+    named in ``carry`` as the struct ``carried``.
 
     The first occurrence by doc_id, text hash and place stays, so no line
     leaves the corpus. Blank lines are never removed. A null source is a site of
     its own; a null text has no lines and stays null; a null doc_id sorts first.
     Repeated rows share the same result, extra columns are ignored, an empty
-    table gives an empty result.
+    table gives an empty result. A text is split once, whatever its lines.
     """
-    extra = [c for c in carry if c not in ("doc_id", "text", "source")]
     docs = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("version"), *extra)
+        F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("version"),
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("carried"))
     lines = stored(lines_of(docs), "lines")
     first = F.struct(*[F.col(f"lines.{c}") for c in ("doc_id", "version", "place")])
     cut = (lines.alias("lines").join(spread_lines(lines, min_sites).alias("spread"), _KEY)
@@ -74,14 +74,19 @@ def deduplicated(docs: DataFrame, min_sites: int = MIN_SITES, carry: tuple[str,
            .groupBy(F.col("lines.doc_id").alias("cut_id"), F.col("version").alias("cut_version"))
            .agg(F.collect_set("place").alias("gone")))
     parts = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
+
+    def without(p: F.Column) -> F.Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(p, i)), "\n")
+
+    # a list of one split text: the split is done once, not for each line
+    kept_text = F.get(F.transform(F.array(parts), without), 0)
     return (docs.join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id"))
                       & (F.col("version") == F.col("cut_version")), "left")
             .withColumn("n_lines", F.coalesce(F.size(parts), F.lit(0)).cast("bigint"))
             .withColumn("n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint"))
-            .withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-                F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")))
-            .select("doc_id", "text", "source", *extra, "n_lines", "n_removed"))
+            .withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept_text))
+            .select("doc_id", "text", "source", "carried", "n_lines", "n_removed"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
