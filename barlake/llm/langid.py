@@ -17,11 +17,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from barlake.llm.common import read_table, small_batches, typed
+from barlake.llm.common import read_table, small_batches, smallest_hashes, typed
 
 #: So many documents of each language are learned from at most, none longer than this.
 TRAIN_DOCUMENTS, TRAIN_CHARS = 400, 20_000
@@ -240,11 +240,8 @@ def training_words(docs: DataFrame) -> dict[str, Counter]:
     seen = (docs.where("lang is not null and doc_id is not null").where(~held_out())
             .where(F.length("text").between(1, TRAIN_CHARS))
             .select("lang", "text", F.xxhash64("text").alias("h")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = (seen.select("lang", "h").distinct().withColumn("place", place)
-              .where(F.col("place") <= TRAIN_DOCUMENTS).drop("place"))
     counts: dict[str, Counter] = {}
-    for row in seen.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"]).collect():
+    for row in smallest_hashes(seen, "lang", "h", TRAIN_DOCUMENTS).collect():
         counts.setdefault(row.lang, Counter()).update(WORDS.findall(row.text.lower()))
     return counts
 

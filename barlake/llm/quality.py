@@ -14,10 +14,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import read_table, small_batches, typed
+from barlake.llm.common import read_table, small_batches, smallest_hashes, typed
 
 #: The field is fitted on so many labelled documents of each class at most,
 #: none longer than this.
@@ -170,11 +170,9 @@ class LineField:
 def training_rows(docs: DataFrame, labels: DataFrame) -> list:
     """A bounded sample of labelled documents: of each class, the
     TRAIN_DOCUMENTS whose ids have the smallest hashes."""
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (typed(labels, doc_id="bigint", quality="int").where("doc_id is not null and quality in (0, 1)")
-              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= TRAIN_DOCUMENTS)
-              .select("doc_id", "quality"))
+    found = (typed(labels, doc_id="bigint", quality="int").where("doc_id is not null and quality in (0, 1)")
+             .groupBy("doc_id").agg(F.min("quality").alias("quality")).withColumn("h", F.xxhash64("doc_id")))
+    chosen = smallest_hashes(found, "quality", "h", TRAIN_DOCUMENTS).select("doc_id", "quality")
     return (docs.where(F.length("text").between(1, TRAIN_CHARS))
             .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
             .orderBy(F.xxhash64("doc_id")).collect())
