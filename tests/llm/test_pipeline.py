@@ -3,6 +3,8 @@ import numpy as np
 import tiktoken
 import public_tokenizers as public
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from barlake.llm import bpe
 from conftest import SF_SMALL
@@ -46,3 +48,19 @@ def test_run(spark):
         ids = np.frombuffer(r.ids, "<u4").tolist()
         assert r.round_trip and library.encode_ordinary(library.decode(ids)) == ids
         assert set(library.decode(ids).split("\n")) <= set(texts[r.doc_id].split("\n"))
+
+
+def test_odd_tables(spark):
+    """Clashing names, null texts and ids, repeated rows, and no rows at all."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    names = ["version", "n_lines", "n_removed", "gone", "cut_id", "carried", "_id", "_version", "_salt", "place"]
+    odd = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    odd = odd.unionByName(odd.limit(2)).unionByName(odd.limit(2).withColumn("text", F.lit(None).cast("string")))
+    odd = odd.unionByName(odd.limit(1).withColumn("doc_id", F.lit(None).cast("bigint"))).checkpoint()
+    kept, none = odd, odd.limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept, none = (stage(spark, d, SF_SMALL).checkpoint() for d in (kept, none))
+        assert kept.columns == none.columns == odd.columns and none.count() == 0, name
+        assert kept.select(*names).distinct().collect() == [tuple(range(len(names)))], name
+    assert 0 < kept.count() <= 60 and kept.where("text is null").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, SF_SMALL).count() == kept.count()
