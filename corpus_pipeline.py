@@ -2,6 +2,9 @@
 
 All stages but the last return the columns of their input; stages that filter
 compare documents by doc_id and a hash of the text, so ids may repeat or be null.
+A null text has no language and goes with the first stage. Repeated rows stay until
+the n-gram join, which keeps one. Columns beyond those of ``documents`` pass
+through under any name, but for the last stage. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,20 +30,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes cross-site boilerplate lines out of the texts; a document of nothing
-    else goes (its lines stay where they stood first)."""
-    done = line_dedup.deduplicated(docs, carry=tuple(docs.columns))
+    else goes (its lines stay where they stood first). ``n_chars`` follows the text."""
+    done = line_dedup.deduplicated(docs, carry=tuple(c for c in docs.columns if c != "text"))
     gone = (F.col("n_removed") > 0) & (F.length(F.trim(F.col("text"), F.lit(line_dedup.BLANKS + "\n"))) == 0)
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint"))
-                               .otherwise(F.col("n_chars")))
-    return done.where(~F.coalesce(gone, F.lit(False))).select(*docs.columns)
+
+    def column(name: str):
+        if name == "text":
+            return F.col("text")
+        own = F.col("carried").getField(name)
+        if name != "n_chars":
+            return own.alias(name)
+        return F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(own).alias(name)
+
+    return done.where(~F.coalesce(gone, F.lit(False))).select(*[column(c) for c in docs.columns])
 
 
 def _by_version(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join of documents with (doc_id, version) keys."""
-    keys = keys.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_version"))
-    return docs.join(keys, same, how)
+    """Semi or anti join of documents with (doc_id, version) keys, by qualified names:
+    any column of the documents may bear the keys' names."""
+    keys = keys.select("doc_id", "version").distinct().alias("_found")
+    version = F.xxhash64(F.col("_docs.text").cast("string"))
+    same = F.col("_docs.doc_id").cast("bigint").eqNullSafe(F.col("_found.doc_id")) & (version == F.col("_found.version"))
+    return docs.alias("_docs").join(keys, same, how)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
