@@ -74,6 +74,7 @@ def bronze_bars(
     api_source: str = API_SOURCE,
     formats: Sequence[str] = DATE_FORMATS,
     rejects: Observation | None = None,
+    stored_text: bool = False,
 ) -> DataFrame:
     """Valid tickers, parseable day, ``start_date <= trading_date <= end_date``.
 
@@ -84,6 +85,10 @@ def bronze_bars(
     ``exchanges`` restricts venues (HOSE / HNX only, else ValueError before any
     read); ``listing`` keeps only listed (symbol, exchange) pairs via a
     left-semi join. Audit columns record the window and run date.
+
+    ``stored_text``: the landed time is a stored text column, so ranges of texts that
+    can be days of the window (``may_be_inside``) are filtered first and reach the
+    scan; not with ``rejects``, which count every landed row.
     """
     start = normalize_window_date(start_date)
     end = normalize_window_date(end_date)
@@ -92,6 +97,8 @@ def bronze_bars(
     if exchanges is not None:
         check_exchanges(exchanges)
     df = raw
+    if stored_text and rejects is None and start is not None:
+        df = df.where(may_be_inside(F.col(_date_source_column(df)), start, end))
     if exchanges is not None:
         df = df.where(strip_upper(F.col("exchange")).isin(list(exchanges)))
     if rejects is not None:
@@ -123,6 +130,29 @@ def bronze_bars(
     )
 
 
+def may_be_inside(text: Column, start: str, end: str) -> Column:
+    """Whether a text can be a day of the window, by comparisons and prefixes that a
+    scan can skip row groups by. True for every text that parses to such a day:
+    those that start with a blank, the year-first layouts by year (by month in
+    windows of up to a year), the month-first layout by month."""
+    lo, hi = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    months = [(n // 12, n % 12 + 1) for n in range(lo.year * 12 + lo.month - 1, hi.year * 12 + hi.month)]
+    # blanks sort before '!' or, beyond ASCII, from U+0085 on
+    found = (text < F.lit("!")) | (text >= F.lit("\u0085"))
+    if len(months) > 12:
+        found |= (text >= F.lit(f"{lo.year:04d}")) & (text < F.lit(f"{hi.year + 1:04d}"))
+    else:
+        for y, m in months:
+            for prefix in (f"{y:04d}-{m:02d}", f"{y:04d}/{m:02d}", f"{y:04d}{m:02d}", *(
+                    (f"{y:04d}-{m}-", f"{y:04d}/{m}/") if m < 10 else ())):
+                found |= text.startswith(prefix)
+    for m in sorted({m for _, m in months}):
+        found |= text.startswith(f"{m:02d}/")
+        if m < 10:
+            found |= text.startswith(f"{m}/")
+    return found
+
+
 def universe_semi_join(bars: DataFrame, listing: DataFrame) -> DataFrame:
     """Keep bars whose (symbol, venue) is listed. The listing is a distinct
     ticker list; AQE broadcasts it when its measured size is small and falls

@@ -146,6 +146,43 @@ def fact_monthly(fact: DataFrame, dates: DataFrame, *, price_decimals: int | Non
     )
 
 
+_MONTH_MEASURES = (("close_price", CLOSE_PLACES), ("daily_return", RETURN_PLACES), ("ma_5", MA_PLACES), ("ma_20", MA_PLACES))
+
+
+def _unit_decimals(column: str, price_decimals: int) -> int:
+    return {"close_price": price_decimals, "daily_return": RETURN_UNIT_DECIMALS}.get(column, MA_UNIT_DECIMALS)
+
+
+def monthly_state(view: DataFrame, *, price_decimals: int | None = None, start: str = CALENDAR_START,
+                  end: str = CALENDAR_END) -> DataFrame:
+    """Sums and counts of each (symbol, exchange, month) from which the monthly fact
+    is divided: integer units with ``price_decimals``, else doubles. Days beyond the
+    calendar have no month. States of parts of a month add up; keyed by names, they
+    outlive symbol keys, which change when a ticker is added."""
+    days = view.where(F.col("trading_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    sums = []
+    for column, _ in _MONTH_MEASURES:
+        x = F.col(column) if price_decimals is None else to_units(
+            F.col(column), _unit_decimals(column, price_decimals), exact=column == "close_price")
+        sums += [F.sum(x).alias(f"{column}_sum"), F.count(x).alias(f"{column}_n")]
+    return days.groupBy("symbol", "exchange", F.to_date(F.trunc("trading_date", "month")).alias("month_start")).agg(
+        *sums, F.sum("volume").cast("bigint").alias("total_volume"), F.count(F.lit(1)).alias("trading_days"))
+
+
+def monthly_fact(state: DataFrame, symbols: DataFrame, *, price_decimals: int | None = None) -> DataFrame:
+    """The monthly fact (as ``fact_monthly``) of states, by the current symbol keys."""
+    def mean(column: str, places: int):
+        total, n = F.col(f"{column}_sum"), F.col(f"{column}_n")
+        value = (round_places(total / F.nullif(n, F.lit(0)), places) if price_decimals is None
+                 else units_mean_rounded(total, n, _unit_decimals(column, price_decimals), places))
+        return value.alias(f"avg_{column}")
+
+    year, month = F.year("month_start").cast("bigint"), F.month("month_start").cast("bigint")
+    return state.join(sized(symbols), ["symbol", "exchange"]).select(
+        "symbol_key", year.alias("year"), month.alias("month"), (year * 100 + month).alias("month_key"),
+        *[mean(c, places) for c, places in _MONTH_MEASURES], "total_volume", "trading_days")
+
+
 def fact_yearly(monthly: DataFrame, *, exact: bool = False, places: int | None = None) -> DataFrame:
     """Yearly roll-up FROM the monthly fact: day-weighted mean of the rounded
     monthly close, unweighted means of the monthly return / MAs, sums.

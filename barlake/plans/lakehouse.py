@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.operators import bi, bronze, checks, gold, silver, warehouse
-from barlake.session import checkpoint_dir, fresh_path
+from barlake.session import checkpoint_dir, fingerprint, fresh_path
 from barlake.sinks import tables
 from barlake.sources import landing
 
@@ -28,8 +28,10 @@ FIXTURE_RUN_DATE = dt.date(2026, 1, 1)
 FIXTURE_PRICE_DECIMALS = 2
 # ---------------------------------------------------------------------------
 
-#: Stored tables by (application, input, settings, name), each a frame that reads its files.
+#: Stored tables by (application, input files' state, settings, name), each a frame that reads its files.
 _STORED: dict[tuple, DataFrame] = {}
+#: Test tables that each source reads.
+_INPUTS = {"tpch": ("lineitem", "part", "supplier", "nation"), "events": ("events",)}
 
 
 class Lakehouse:
@@ -52,9 +54,13 @@ class Lakehouse:
         self.run_date = run_date
         self.partitions = partitions
 
+    @cached_property
+    def _input_state(self) -> tuple:
+        return tuple(fingerprint(self.spark, f"{self.sf_dir.rstrip('/')}/{t}.parquet") for t in _INPUTS[self.source])
+
     def _stored(self, name: str, build: Callable[[], DataFrame], **clustering) -> DataFrame:
-        key = (self.spark.conf.get("spark.app.id", ""), self.sf_dir, self.source, self.window,
-               self.price_decimals, name)
+        key = (self.spark.conf.get("spark.app.id", ""), self.sf_dir, self._input_state, self.source, self.window,
+               self.price_decimals, self.batch_ts, self.run_date, name)
         if key not in _STORED:
             checkpoint_dir(self.spark)
             _STORED[key] = tables.materialize(build(), fresh_path(self.spark, name), **clustering)
@@ -84,6 +90,16 @@ class Lakehouse:
         # bronze's typed day is taken over
         return silver.silver_bars(self.bronze, batch_ts=self.batch_ts)
 
+    @cached_property
+    def landing_table(self) -> DataFrame:
+        """The landed bars as stored text, sorted by the written time."""
+        return self._stored("landing", lambda: self.raw.repartitionByRange("time").sortWithinPartitions("time"))
+
+    @cached_property
+    def silver_table(self) -> DataFrame:
+        """Silver as its contract is checked: stored, clustered by month."""
+        return self._stored("silver", lambda: self.silver, month_of="trading_date", sort=("symbol", "exchange"))
+
     @cached_property
     def gold(self) -> DataFrame:
         return gold.gold_bars(self.silver, price_decimals=self.price_decimals)

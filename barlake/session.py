@@ -130,6 +130,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Bytes, files and last change of a table's folder or file: another value means
+    that its content may have changed."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(location)
+    return size.getLength(), size.getFileCount(), fs.getFileStatus(location).getModificationTime()
+
+
 def lake_root(spark: SparkSession) -> str:
     """Root folder for written layers: ``spark.barlake.lake.root`` when set,
     else a ``lake`` folder beside the checkpoint data (shared on a cluster)."""

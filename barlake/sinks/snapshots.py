@@ -200,13 +200,15 @@ class SnapshotTable:
 
     def publish(self, staged: Staged, mode: str = "dynamic_overwrite", note: object = None) -> int:
         """Switch to a manifest with the staged group. ``dynamic_overwrite`` replaces the
-        keys it holds, ``append`` keeps older rows of them, ``overwrite`` drops all
-        other groups. Two writers can't publish the same version: the later fails."""
+        keys it holds (without keys: the table), ``append`` keeps older rows of them,
+        ``overwrite`` drops all other groups. Two writers can't publish the same version: the later fails."""
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         now = self.current()
         groups: dict[str, dict] = {}
-        if now is not None and mode != "overwrite":
+        if now is not None and self.day is None and mode == "append":
+            groups.update(now.groups)
+        elif now is not None and self.day is not None and mode != "overwrite":
             replaced = set(staged.keys) if mode == "dynamic_overwrite" else set()
             for group, keys in now.groups.items():
                 live = [k for k in keys["live"] if k not in replaced]
