@@ -23,9 +23,9 @@ if _HERE not in sys.path:
 from barlake.functions.exprs import is_valid_ticker, parse_number, round_places  # noqa: E402
 from barlake.operators import bronze as bronze_ops  # noqa: E402
 from barlake.operators import checks, contracts, gold as gold_ops, silver as silver_ops  # noqa: E402
-from barlake.operators.bi import top_symbols_last_dates  # noqa: E402
+from barlake.operators.bi import recent_avg_close, top_symbols_last_dates  # noqa: E402
 from barlake.operators.warehouse import fact_monthly, fact_yearly  # noqa: E402
-from barlake.plans.lakehouse import FIXTURE_WINDOW, Lakehouse  # noqa: E402
+from barlake.plans.lakehouse import FIXTURE_PRICE_DECIMALS, FIXTURE_WINDOW, Lakehouse  # noqa: E402
 from barlake.plans.medallion import MedallionConfig, run_medallion  # noqa: E402
 from barlake.plans.refresh import WarehouseState  # noqa: E402
 from barlake.session import checkpoint_dir, fresh_path  # noqa: E402
@@ -203,6 +203,15 @@ def q_bi_recent(spark, d):
     return _lh(spark, d).recent_avg_close(anchor="max")
 
 
+def q_bi_recent_today(spark, d):
+    """The report's own anchor, today, over the view with its days moved so that the
+    latest one is today's."""
+    view = _lh(spark, d).view
+    ago = F.datediff(F.current_date(), view.agg(F.max("trading_date")).scalar())
+    moved = view.withColumn("trading_date", F.date_add("trading_date", ago))
+    return recent_avg_close(moved, price_decimals=FIXTURE_PRICE_DECIMALS)
+
+
 def q_contract_report(spark, d):
     return contracts.contract_report(_lh(spark, d).silver_table, contracts.SILVER_CONTRACT)
 
@@ -414,6 +423,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_volume_by_exchange_year": q_bi_volume,
         "bi_top_symbols_30d": q_bi_top_symbols,
         "bi_recent_avg_close": q_bi_recent,
+        "bi_recent_avg_close_today": q_bi_recent_today,
         "contract_report": q_contract_report,
         "gold_contract_report": q_gold_contract_report,
         "check_pk_dups": q_check_pk_dups,

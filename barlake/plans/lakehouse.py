@@ -20,6 +20,8 @@ from barlake.session import checkpoint_dir, fingerprint, fresh_path
 from barlake.sinks import tables
 from barlake.sources import landing
 
+LANDING_PARTITIONS_CONF = "spark.barlake.landing.partitions"
+
 # --- fixed values of the test-table runs -----------------------------------
 FIXTURE_WINDOW = ("2016-01-01", "2020-12-31")
 FIXTURE_BATCH_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
@@ -37,7 +39,8 @@ _INPUTS = {"tpch": ("lineitem", "part", "supplier", "nation"), "events": ("event
 class Lakehouse:
     """All layers over the landed bars of ``sf_dir`` (``source`` = ``tpch``:
     line items as bars; ``events``: the event stream as intraday bars).
-    ``partitions`` spreads an unsplittable input file (off by default)."""
+    ``partitions`` spreads an unsplittable input file (off by default; the session
+    setting ``spark.barlake.landing.partitions`` is its default)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, *, source: str = "tpch",
                  window: tuple[str, str] | None = FIXTURE_WINDOW,
@@ -52,7 +55,8 @@ class Lakehouse:
         self.price_decimals = price_decimals
         self.batch_ts = batch_ts
         self.run_date = run_date
-        self.partitions = partitions
+        default = spark.conf.get(LANDING_PARTITIONS_CONF, None)
+        self.partitions = partitions if partitions is not None or default is None else int(default)
 
     @cached_property
     def _input_state(self) -> tuple:

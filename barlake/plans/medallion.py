@@ -131,12 +131,22 @@ def _validated(staged: Staged, contract: contracts.Contract, strict: bool) -> li
         raise
 
 
-def build_warehouse(spark: SparkSession, gold_table: DataFrame, warehouse_root: str, *,
+GOLD_VIEW = "v_gold_stock_price_daily"
+
+
+def build_warehouse(spark: SparkSession, gold_table: DataFrame | str, warehouse_root: str, *,
                     price_decimals: int | None = None) -> dict[str, DataFrame]:
     """Dimensions and facts written under ``warehouse_root`` (replaced on
-    rebuild), plus the integrity and BI report frames over them."""
+    rebuild), plus the integrity and BI report frames over them. With the path of
+    a gold table its view is stored as well: later sessions open it by name
+    (``tables.open_view``)."""
     root = warehouse_root.rstrip("/")
-    view = tables.register_view(warehouse.gold_view(gold_table), "v_gold_stock_price_daily")
+    if isinstance(gold_table, str):
+        venues = ", ".join(f"'{v}'" for v in warehouse.GOLD_VIEW_EXCHANGES)
+        tables.save_view(spark, root, GOLD_VIEW, gold_table, warehouse.GOLD_VIEW_COLUMNS, f"exchange IN ({venues})")
+        view = tables.open_view(spark, root, GOLD_VIEW)
+    else:
+        view = tables.register_view(warehouse.gold_view(gold_table), GOLD_VIEW)
     dates = tables.materialize(warehouse.dim_date(spark), f"{root}/dim_date")
     symbols = tables.materialize(warehouse.dim_symbol(view), f"{root}/dim_symbol")
     fact = tables.materialize(warehouse.fact_daily(view, symbols), f"{root}/fact_stock_price",

@@ -148,3 +148,22 @@ def materialize(df: DataFrame, path: str, month_of: str | None = None,
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
+
+
+def save_view(spark: SparkSession, root: str, name: str, table: str, columns: Sequence[str], condition: str) -> None:
+    """Store a view's definition under ``root``: columns and condition over the table at
+    a path. It outlives the session; the newest definition of a name counts."""
+    definition = SnapshotTable(spark, f"{root.rstrip('/')}/views/{name}")
+    row = spark.createDataFrame([(table, list(columns), condition)], "path string, columns array<string>, condition string")
+    definition.publish(definition.stage(row.coalesce(1)), "overwrite")
+
+
+def open_view(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of a stored view over its table's present state, registered under its
+    name in this session."""
+    stored = SnapshotTable(spark, f"{root.rstrip('/')}/views/{name}").read()
+    if stored is None:
+        raise KeyError(f"no view {name!r} under {root}")
+    definition = stored.first()
+    rows = read_layer(spark, definition["path"]).where(definition["condition"]).select(*definition["columns"])
+    return register_view(rows, name)

@@ -196,3 +196,18 @@ def test_json_bronze_reads_back(spark, tmp_lake):
                           MedallionConfig(lake_root=tmp_lake, start_date="2025-01-01", end_date="2025-12-31", bronze_format="json"))
     row = tables.read_layer(spark, tmp_lake + "/bronze").orderBy("data_date").first()
     assert stats["gold_rows"] == 2 and row.data_date == D(2025, 1, 2) and row.trading_date == "2025-01-02"
+
+
+def test_stored_view_outlives_the_session(spark, tmp_lake):
+    raw = _bars(spark, ["2025-01-02", "2025-01-03"]).union(_bars(spark, ["2025-01-02"], "BBB", "HNX"))
+    run_medallion(spark, raw, _config(tmp_lake, "2025-01-01", "2025-01-31"))
+    from barlake.plans.medallion import GOLD_VIEW, build_warehouse
+    wh = build_warehouse(spark, tmp_lake + "/gold", tmp_lake + "/wh", price_decimals=2)
+    assert wh["fact"].count() == 3
+    other = spark.newSession()
+    assert not other.catalog.tableExists(GOLD_VIEW)
+    run_medallion(spark, _bars(spark, ["2025-01-06"]), _config(tmp_lake, "2025-01-06", "2025-01-06"))
+    assert tables.open_view(other, tmp_lake + "/wh", GOLD_VIEW).count() == 4  # of gold as it is now
+    assert other.sql(f"SELECT count(*) FROM {GOLD_VIEW} WHERE exchange = 'HNX'").first()[0] == 1
+    with pytest.raises(KeyError):
+        tables.open_view(other, tmp_lake + "/wh", "nope")
