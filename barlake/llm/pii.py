@@ -5,7 +5,8 @@ spans (the base spans of a bounded sample), run over overlapping windows, each
 decoded by Viterbi; a character takes its label from the window in which it
 stands most centrally, so the windows' answers are reconciled over the whole
 text. Spans of the network that pass the kind's form and touch no base span are
-added.
+added. Besides the kinds of the rules it learns secrets (keys, tokens): runs of
+letters and digits that no word looks like.
 
 Every kind's form needs a digit or an ``@``, so windows without one can't add a
 span and aren't run.
@@ -13,7 +14,9 @@ span and aren't run.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -25,6 +28,8 @@ from pyspark.sql import functions as F
 from barlake.llm.common import read_table, small_batches, stored, typed
 
 KINDS = ("email", "ip", "card", "phone")
+#: What the network tags: the rules' kinds and secrets.
+TAGS = (*KINDS, "secret")
 #: The network is trained on so many distinct documents at most, none longer than this.
 TRAIN_DOCUMENTS, TRAIN_CHARS = 400, 20_000
 #: Of them, those drawn at most for each kind of span.
@@ -37,7 +42,7 @@ RUN_AT_ONCE = 1024
 _CENTRAL = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1).astype(np.int8)
 
 OUT_SCHEMA = ("doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-              "base_sha256 string, spans string, n_added bigint")
+              "base_sha256 string, spans string, n_added bigint, n_spans bigint")
 
 Span = tuple[str, int, int]
 
@@ -50,6 +55,9 @@ _IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
+#: A secret is a run of at least so many of these characters, with so many digits and letters.
+SECRET_CHARS, SECRET_DIGITS, SECRET_LETTERS = 20, 4, 4
+_SECRET = re.compile(r"[A-Za-z0-9_+/=-]+")
 
 
 def luhn(digits: str) -> bool:
@@ -97,9 +105,22 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def labelled_spans(text: str) -> list[Span]:
+    """What the network learns: the base spans, and whole runs of a secret's form that
+    touch none."""
+    base = base_spans(text)
+    covered = {i for _, a, b in base for i in range(a, b)}
+    return base + [("secret", *m.span()) for m in _SECRET.finditer(text)
+                   if fits_form("secret", m[0]) and covered.isdisjoint(range(*m.span()))]
+
+
 def fits_form(kind: str, found: str) -> bool:
     """What a span of the network must look like to be added."""
     digits = _NOT_DIGIT.sub("", found)
+    if kind == "secret":
+        letters = sum(c.isalpha() for c in found)
+        return (len(found) >= SECRET_CHARS and len(digits) >= SECRET_DIGITS and letters >= SECRET_LETTERS
+                and _SECRET.fullmatch(found) is not None)
     if kind == "email":
         return re.fullmatch(r"[^\s@]+@[^\s@]+\.[^\s@.]{2,}", found) is not None
     if kind == "ip":
@@ -110,13 +131,13 @@ def fits_form(kind: str, found: str) -> bool:
 
 
 def as_text(spans: Iterable[Span]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2])))
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (TAGS.index(x[0]), x[1], x[2])))
 
 
 # -- the network ------------------------------------------------------------
 
 #: 0 pads, 1 is any character beyond ASCII, then ASCII.
-N_CODES, N_LABELS = 130, 1 + 2 * len(KINDS)
+N_CODES, N_LABELS = 130, 1 + 2 * len(TAGS)
 
 
 def codes(text: str) -> np.ndarray:
@@ -128,7 +149,7 @@ def labels(size: int, spans: Iterable[Span]) -> np.ndarray:
     """0 outside, 1 + 2k where a span of kind k begins, 2 + 2k inside."""
     out = np.zeros(size, np.int64)
     for kind, start, end in spans:
-        out[start:end] = 2 + 2 * KINDS.index(kind)
+        out[start:end] = 2 + 2 * TAGS.index(kind)
         out[start] -= 1
     return out
 
@@ -276,16 +297,16 @@ class Tagger:
 def training_windows(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     windows, gold = [], []
     for text in texts:
-        c = codes(text)
+        c, marks = codes(text), labels(len(text), labelled_spans(text))
         trigger = np.array([m.start() for m in _TRIGGER.finditer(text)])
         starts = window_starts(len(text), trigger)
         # the text around triggers, cut at several offsets, and its plain beginning
         for shift in (0, 17, 31):
             at = np.unique(np.clip(starts + shift, 0, max(len(text) - 1, 0)))
             windows.append(cut(c, at))
-            gold.append(cut(labels(len(text), base_spans(text)), at))
+            gold.append(cut(marks, at))
         windows.append(cut(c, np.zeros(1, np.int64)))
-        gold.append(cut(labels(len(text), base_spans(text)), np.zeros(1, np.int64)))
+        gold.append(cut(marks, np.zeros(1, np.int64)))
     if not windows:
         return np.zeros((0, WINDOW), np.int64), np.zeros((0, WINDOW), np.int64)
     return np.concatenate(windows), np.concatenate(gold)
@@ -315,7 +336,7 @@ def tag_texts(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
         begin = None
         for at in np.flatnonzero(label_of).tolist():
             label = int(label_of[at])
-            kind = KINDS[(label - 1) // 2]
+            kind = TAGS[(label - 1) // 2]
             if begin and begin[2] == at and begin[0] == kind and label % 2 == 0:
                 begin[2] = at + 1
             else:
@@ -327,27 +348,44 @@ def tag_texts(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
     return out
 
 
+def _meets(starts: list[int], reach: list[int], start: int, end: int) -> bool:
+    """Whether a stretch touches one of the spans, given their sorted starts and the
+    furthest end up to each."""
+    at = bisect.bisect_left(starts, end)
+    return at > 0 and reach[at - 1] > start
+
+
+def whole_run(runs: list[tuple[int, int]], start: int, end: int) -> tuple[int, int]:
+    """The run of secret characters in which a tagged stretch begins, else the stretch."""
+    at = bisect.bisect_right(runs, (start, float("inf"))) - 1
+    return runs[at] if at >= 0 and runs[at][1] > start else (start, end)
+
+
 def find_spans(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text."""
     out = []
     for text, tagged in zip(texts, tag_texts(tagger, texts) if tagger else [[]] * len(texts), strict=True):
         base = base_spans(text)
-        added = [(k, s, e) for k, s, e in tagged
-                 if fits_form(k, text[s:e]) and not any(s < b and a < e for _, a, b in base)]
+        runs = [m.span() for m in _SECRET.finditer(text)] if any(k == "secret" for k, _, _ in tagged) else []
+        found = {(k, *whole_run(runs, s, e)) if k == "secret" else (k, s, e) for k, s, e in tagged}
+        places = sorted((a, b) for _, a, b in base)
+        starts, reach = [a for a, _ in places], list(itertools.accumulate((b for _, b in places), max))
+        added = [(k, s, e) for k, s, e in sorted(found, key=lambda x: x[1:])
+                 if fits_form(k, text[s:e]) and not _meets(starts, reach, s, e)]
         out.append((base, added))
     return out
 
 
 def training_texts(docs: DataFrame) -> list[str]:
     """A bounded sample of distinct texts, TRAIN_DOCUMENTS at most: of those that hold a
-    base span of a kind the KIND_DOCUMENTS with the smallest hashes, for each kind, and
-    the rest from texts with a digit or an @ but without any base span."""
+    labelled span of a kind the KIND_DOCUMENTS with the smallest hashes, for each kind, and
+    the rest from texts with a digit or an @ but without any."""
     held = (docs.where(F.length("text") <= TRAIN_CHARS).where(F.col("text").rlike("[0-9@]"))
             .select("text", F.xxhash64("text").alias("h")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = [sum(1 << KINDS.index(k) for k in {k for k, _, _ in base_spans(t)}) for t in batch.column("text").to_pylist()]
+            kinds = [sum(1 << TAGS.index(k) for k in {k for k, _, _ in labelled_spans(t)}) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(kinds, pa.int32())], names=["h", "kinds"])
 
     marked = stored(held.mapInArrow(run, "h bigint, kinds int").distinct(), "kinds")
@@ -355,7 +393,7 @@ def training_texts(docs: DataFrame) -> list[str]:
     def smallest(which: Column, n: int) -> set[int]:
         return {r.h for r in marked.where(which).orderBy("h").limit(n).collect()}
 
-    chosen = set().union(*(smallest(F.col("kinds").bitwiseAND(1 << i) != 0, KIND_DOCUMENTS) for i in range(len(KINDS))))
+    chosen = set().union(*(smallest(F.col("kinds").bitwiseAND(1 << i) != 0, KIND_DOCUMENTS) for i in range(len(TAGS))))
     chosen |= smallest(F.col("kinds") == 0, TRAIN_DOCUMENTS - len(chosen))
     wanted = docs.sparkSession.createDataFrame([(h,) for h in sorted(chosen)], "h bigint")
     return [r.text for r in held.join(F.broadcast(wanted), "h").dropDuplicates(["h"]).orderBy("h").collect()]
@@ -363,7 +401,8 @@ def training_texts(docs: DataFrame) -> list[str]:
 
 def scan_documents(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): base spans counted by kind,
-    the hash of their list, and all spans with those the network adds.
+    the hash of their list, all spans with those the network adds (of the same kinds, or
+    ``secret``), and how many were added and are there in all.
 
     A null text counts as empty and has no spans. A null doc_id stays null,
     repeated rows each give a row, extra columns are ignored, an empty table
@@ -385,11 +424,11 @@ def scan_documents(docs: DataFrame) -> DataFrame:
             for doc_id, (base, added) in zip(batch.column("doc_id").to_pylist(), find_spans(tagger, texts), strict=True):
                 count = [sum(k == kind for k, _, _ in base) for kind in KINDS]
                 rows.append((doc_id, *count, hashlib.sha256(as_text(base).encode()).hexdigest(),
-                             as_text(base + added), len(added)))
+                             as_text(base + added), len(added), len(base) + len(added)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(
-                    zip(*rows) if rows else [()] * 8,
-                    [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()], strict=True)],
+                    zip(*rows) if rows else [()] * 9,
+                    [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()] * 2, strict=True)],
                 names=[x.split()[0] for x in OUT_SCHEMA.split(", ")])
 
     return docs.mapInArrow(run, OUT_SCHEMA)
