@@ -22,11 +22,11 @@ if _HERE not in sys.path:
 
 from barlake.functions.exprs import is_valid_ticker, parse_number, round_places  # noqa: E402
 from barlake.operators import bronze as bronze_ops  # noqa: E402
-from barlake.operators import checks, contracts, gold as gold_ops, silver as silver_ops  # noqa: E402
+from barlake.operators import checks, contracts, gold as gold_ops, silver as silver_ops, warehouse as warehouse_ops  # noqa: E402
 from barlake.operators.bi import recent_avg_close, top_symbols_last_dates  # noqa: E402
 from barlake.operators.warehouse import fact_monthly, fact_yearly  # noqa: E402
 from barlake.plans.lakehouse import FIXTURE_PRICE_DECIMALS, FIXTURE_WINDOW, Lakehouse  # noqa: E402
-from barlake.plans.medallion import MedallionConfig, run_medallion  # noqa: E402
+from barlake.plans.medallion import GOLD_VIEW, MedallionConfig, build_warehouse, run_medallion  # noqa: E402
 from barlake.plans.refresh import WarehouseState  # noqa: E402
 from barlake.session import checkpoint_dir, fresh_path  # noqa: E402
 from barlake.sinks import layers, tables  # noqa: E402
@@ -329,6 +329,51 @@ def q_fact_yearly_incremental(spark, d):
     return _refreshed(spark, d).yearly()
 
 
+def q_run_manifest(spark, d):
+    """Completion rows that the three runs left beside each layer."""
+    root = _refreshed(spark, d).gold.path.removesuffix("/gold")
+    parts = [tables.read_layer(spark, f"{root}/{name}_run_manifest") for name in ("bronze", "silver", "gold")]
+    return reduce(DataFrame.unionByName, parts).select("layer", "rows")
+
+
+def q_gold_view_stored(spark, d):
+    """The analytics view opened by its stored name over the incremental gold."""
+    gold = _refreshed(spark, d).gold.path
+    root = fresh_path(spark, "views")
+    venues = ", ".join(f"'{v}'" for v in warehouse_ops.GOLD_VIEW_EXCHANGES)
+    tables.save_view(spark, root, GOLD_VIEW, gold, warehouse_ops.GOLD_VIEW_COLUMNS, f"exchange IN ({venues})")
+    return tables.open_view(spark, root, GOLD_VIEW)
+
+
+def q_warehouse_integrity(spark, d):
+    """The integrity report of one warehouse build over the incremental gold."""
+    lh = _lh(spark, d)
+    built = build_warehouse(spark, _refreshed(spark, d).gold.path, fresh_path(spark, "built"), price_decimals=lh.price_decimals)
+    return built["integrity"]
+
+
+#: A contract that silver can't fulfil: an unknown type, and columns that it doesn't have.
+PROBE_CONTRACT = contracts.Contract.from_dict({
+    "table": "stock_price_probe",
+    "columns": {"symbol": {"type": "string", "nullable": False}, "close_price": {"type": "currency"}, "isin": {"type": "string"},
+                "volume": {}},
+    "partition_by": ["trading_date", "listing_day"], "primary_key": ["symbol", "trading_date"],
+    "quality_checks": {"not_null": ["open"], "positive_values": ["low", "exchange"]}})
+
+
+def q_contract_report_probe(spark, d):
+    return contracts.contract_report(_lh(spark, d).silver_table, PROBE_CONTRACT)
+
+
+def q_contract_enforced(spark, d):
+    """What a lenient run warns of over silver with seeded faults, and at which of
+    them a strict run stops."""
+    report = contracts.contract_report(checks.broken_silver(_lh(spark, d).silver_table), contracts.SILVER_CONTRACT)
+    rows = contracts.enforce(report, strict=False)
+    return spark.createDataFrame([(r["rule"], r["column"], r["violations"], i == 0) for i, r in enumerate(rows)],
+                                 "rule string, column string, violations bigint, stops boolean")
+
+
 def q_bronze_from_landing(spark, d):
     """Bronze over stored landed text, of which the window's row groups are read."""
     lh = _lh(spark, d)
@@ -441,6 +486,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_monthly_incremental": q_fact_monthly_incremental,
         "fact_yearly_incremental": q_fact_yearly_incremental,
         "bronze_from_landing": q_bronze_from_landing,
+        "run_manifest": q_run_manifest,
+        "gold_view_stored": q_gold_view_stored,
+        "warehouse_integrity": q_warehouse_integrity,
+        "contract_report_probe": q_contract_report_probe,
+        "contract_enforced": q_contract_enforced,
         "gold_ma_5_plain": q_gold_plain("ma_5"),
         "gold_ma_20_plain": q_gold_plain("ma_20"),
         "fact_monthly_plain": q_fact_monthly_plain,
