@@ -8,7 +8,8 @@ overwrite: new files add rows to existing days, and a replayed batch (after a
 failure the checkpoint re-delivers it) rewrites only its own sub-partitions
 instead of duplicating rows. The stream has layers of its own
 (``bronze_stream``, ``silver_stream``): the batch job partitions by venue, so one
-folder can't hold both. Keys are checked within a micro-batch. Gold depends on
+folder can't hold both. Keys are checked within a micro-batch; across batches
+``start_replay_stream`` counts them in state under a watermark. Gold depends on
 whole series, so ``gold_from_stream`` builds it from all streamed silver, which
 keeps the last arrival of a key across batches.
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from barlake.functions.exprs import is_valid_ticker, strip_upper
 from barlake.operators import bronze, contracts, gold, silver
 from barlake.sinks import tables
 
@@ -80,6 +82,42 @@ def start_silver_stream(spark: SparkSession, landing_path: str, schema: T.Struct
     return writer.start()
 
 
+def start_replay_stream(spark: SparkSession, landing_path: str, schema: T.StructType,
+                        lake_root: str, checkpoint_location: str, *, horizon: str = "30 days",
+                        fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                        available_now: bool = True) -> StreamingQuery:
+    """Keys (symbol, venue, day) that landed more than once, whichever micro-batches
+    brought their copies: written to ``replayed_keys`` with the copies so far, once
+    for every batch that adds one.
+
+    A key's count is aggregation state: summed in the map tasks, so a key of many
+    copies costs a task a row, kept in the checkpoint over restarts, and dropped
+    once its day is further than ``horizon`` behind the newest day. A copy that lands
+    later than that isn't counted. Rows without a ticker or a readable day have no key.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    landed = bronze.with_trading_date(reader.load(landing_path)).where(
+        is_valid_ticker(F.col("symbol")) & F.col("trading_date").isNotNull())
+    keyed = landed.select(strip_upper(F.col("symbol")).alias("symbol"), strip_upper(F.col("exchange")).alias("exchange"),
+                          F.col("trading_date").cast("timestamp").alias("day"))
+    counted = (keyed.withWatermark("day", horizon).groupBy("day", "symbol", "exchange")
+               .agg(F.count(F.lit(1)).alias("copies")))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        again = batch.where(F.col("copies") > 1).select(
+            F.to_date("day").alias("trading_date"), "symbol", "exchange", "copies",
+            F.lit(int(batch_id)).cast("bigint").alias("ingest_batch"))
+        tables.write_partitioned(again, f"{lake_root.rstrip('/')}/replayed_keys", "trading_date",
+                                 extra_partition_cols=["ingest_batch"])
+
+    writer = (counted.writeStream.outputMode("update").foreachBatch(handle)
+                     .option("checkpointLocation", checkpoint_location))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
 def gold_from_stream(spark: SparkSession, lake_root: str, *, price_decimals: int | None = None) -> DataFrame:
     """Gold over everything the stream has brought to silver so far. A later
     batch arrives later; within one, ``ingest_seq`` decides."""

@@ -211,3 +211,16 @@ def test_stored_view_outlives_the_session(spark, tmp_lake):
     assert other.sql(f"SELECT count(*) FROM {GOLD_VIEW} WHERE exchange = 'HNX'").first()[0] == 1
     with pytest.raises(KeyError):
         tables.open_view(other, tmp_lake + "/wh", "nope")
+
+
+def test_landing_is_scanned_once(spark, tmp_lake):
+    """Counts, samples and the range come from the writes: one execution reads the landed files."""
+    raw = _bars(spark, ["2025-01-02", "2025-01-03", "nope"])
+    raw.write.parquet(tmp_lake + "/landed-once")
+    stats = run_medallion(spark, tables.read_layer(spark, tmp_lake + "/landed-once"), _config(tmp_lake, "2025-01-01", "2025-01-31"))
+    assert stats["unreadable_days"] == ["nope"] and stats["landed_rows"] == 3
+    # listed at the end of each execution by Spark's own listener
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    ran = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(ran.size())]
+    assert sum("landed-once" in p and "Scan parquet" in p for p in plans) == 1
