@@ -531,37 +531,62 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 LINK_SCHEMA = ", ".join(f"{c} bigint" for c in [*PAIR, "shared"])
 
 
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """(left ids, right ids, one block with itself, links, shared) of each block of a
+    component's classes; ids are the arrays (a, b)."""
+    got = _gathered(batches, ["ra", "rb", "low", "high", "side", "a", "b", "set"])
+    if got is None:
+        return
+    order = np.lexsort([got[i] for i in (6, 5, 4, 3, 2, 1, 0)])
+    ra, rb, low, high, side, a, b, held = (x[order] for x in got)
+    begin = _begins(ra, rb, low, high)
+    for start, stop in zip(begin, np.append(begin[1:], len(a)), strict=True):
+        sets = [np.frombuffer(x, U) for x in held[start:stop]]
+        n = np.array([len(x) for x in sets], np.int64)
+        same = low[start] == high[start]
+        middle = 0 if same else int(np.searchsorted(side[start:stop], True))
+        left = slice(0, len(sets) if same else middle)
+        if not sets[left] or not sets[middle:]:
+            continue
+        shared = overlaps(sets[left], sets[middle:])
+        links = SHARED * shared >= JOINT * (n[left][:, None] + n[middle:] - shared)
+        ids = a[start:stop], b[start:stop]
+        yield [x[left] for x in ids], [x[middle:] for x in ids], same, links, shared
+
+
 def _block_links(dealt: DataFrame) -> DataFrame:
     """The links of each block of a component's classes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches, ["ra", "rb", "low", "high", "side", "a", "b", "set"])
-        if got is None:
-            return
-        order = np.lexsort([got[i] for i in (6, 5, 4, 3, 2, 1, 0)])
-        ra, rb, low, high, side, a, b, held = (x[order] for x in got)
-        begin = _begins(ra, rb, low, high)
-        for start, stop in zip(begin, np.append(begin[1:], len(a)), strict=True):
-            sets = [np.frombuffer(x, U) for x in held[start:stop]]
-            n = np.array([len(x) for x in sets], np.int64)
-            same = low[start] == high[start]
-            middle = 0 if same else int(np.searchsorted(side[start:stop], True))
-            left = slice(0, len(sets) if same else middle)
-            if not sets[left] or not sets[middle:]:
-                continue
-            shared = overlaps(sets[left], sets[middle:])
-            links = SHARED * shared >= JOINT * (n[left][:, None] + n[middle:] - shared)
+        for (a, b), (a2, b2), same, links, shared in _blocks(batches):
             i, j = np.nonzero(np.triu(links, 1) if same else links)
             for at in range(0, len(i), 1 << 16):
                 x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-                u, v = start + x, start + middle + y
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (a[u], b[u], a[v], b[v], shared[x, y])], names=[*PAIR, "shared"])
+                    [pa.array(c) for c in (a[x], b[x], a2[y], b2[y], shared[x, y])], names=[*PAIR, "shared"])
 
     return dealt.repartition("ra", "rb", "low", "high").mapInArrow(run, LINK_SCHEMA)
 
 
-def _links(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
+def _block_counts(dealt: DataFrame) -> DataFrame:
+    """(a, b, links): how many links each class has in a block; a row a class and block,
+    whatever its links."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lefts, rights, same, links, _ in _blocks(batches):
+            if same:
+                links = links & ~np.eye(len(links), dtype=bool)
+            sides = [(lefts, links.sum(1))] if same else [(lefts, links.sum(1)), (rights, links.sum(0))]
+            for (a, b), n in sides:
+                some = n > 0
+                yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(b[some]), pa.array(n[some].astype(np.int64))],
+                                                 names=["a", "b", "links"])
+
+    return dealt.repartition("ra", "rb", "low", "high").mapInArrow(run, "a bigint, b bigint, links bigint")
+
+
+def _dealt(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The sets of each component's classes, dealt to the blocks that compare them."""
     sizes = rows.where("n > 0").select("a", "b", "n").distinct()
     parts = (found.join(sizes, ["a", "b"]).groupBy("ra", "rb").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("n"))
              .where("many > 1").select("ra", "rb", F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(
@@ -573,27 +598,30 @@ def _links(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
     sets = class_sets(docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("its_id"))
                                 & (F.col("version") == F.col("its_version"))).dropDuplicates(["a", "b"]))
     own = F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int")
-    dealt = (sets.join(chosen.drop("its_id", "its_version"), ["a", "b"]).withColumn("own", own)
+    return (sets.join(chosen.drop("its_id", "its_version"), ["a", "b"]).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("ra", "rb", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
                      (F.col("own") > F.col("other")).alias("side"), "a", "b", "set"))
-    return _block_links(dealt)
 
 
 def class_links(docs: DataFrame) -> DataFrame:
     """All links: (a, b, a2, b2, shared), a row for each pair of classes whose sets
-    link, with the shingles that they share."""
-    return _links(*_classes(docs))
+    link, with the shingles that they share. A class (a, b: the hash of a set) has one
+    row for all its documents, so repeated rows, copies and ids (null or not) change
+    nothing; null and blank texts have no class; extra columns are ignored; an empty
+    table gives an empty result."""
+    return _block_links(_dealt(*_classes(docs)))
 
 
 def document_links(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles and n_links, the
     number of other classes (texts of another shingle set) that its class links with.
-    Rows without shingles have none."""
+    Links are counted in their blocks, so n near copies give n rows a block and not
+    n * n. Null and blank texts have no shingles and no links, null ids stay null,
+    repeated rows each give a row, extra columns are ignored, an empty table gives
+    an empty result."""
     docs, rows, found = _classes(docs)
-    links = stored(_links(docs, rows, found), "links")
-    ends = links.select("a", "b").unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b")))
-    counted = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_links"))
+    counted = _block_counts(_dealt(docs, rows, found)).groupBy("a", "b").agg(F.sum("links").alias("n_links"))
     some = rows.where("n > 0").select("doc_id", "n", "a", "b").join(counted, ["a", "b"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
     return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),

@@ -29,3 +29,16 @@ def test_all_links_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "COLUMNS", 16)
     assert got() == want
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.components(df).collect()) == slow_components(rows)
+
+
+def test_counts_equal_the_pairs_and_odd_rows(spark, monkeypatch):
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(1, text), (1, text), (None, text + " more"), (2, text + " more again"), (3, None), (4, " "), (5, "short")]
+    df = spark.createDataFrame([(*r, "x", 1, 2, "y") for r in rows], "doc_id bigint, text string, a string, n int, ra int, version string")
+    got = sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in ngram_join.document_links(df).collect())
+    assert got == [("1", 12, 2), ("1", 12, 2), ("2", 14, 2), ("3", 0, 0), ("4", 0, 0), ("5", 1, 0), ("None", 13, 2)]
+    monkeypatch.setattr(ngram_join, "BLOCK", 1)
+    pairs = ngram_join.class_links(df).collect()
+    assert sorted(r.shared for r in pairs) == [12, 12, 13] and sum(r[2] for r in got if r[0] != "1") + 2 == 2 * len(pairs)
+    assert sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in ngram_join.document_links(df).collect()) == got
+    assert ngram_join.document_links(df.limit(0)).count() == 0 == ngram_join.class_links(df.limit(0)).count()
