@@ -28,7 +28,7 @@ from barlake.operators.warehouse import fact_monthly, fact_yearly  # noqa: E402
 from barlake.plans.lakehouse import FIXTURE_PRICE_DECIMALS, FIXTURE_WINDOW, Lakehouse  # noqa: E402
 from barlake.plans.medallion import GOLD_VIEW, MedallionConfig, build_warehouse, run_medallion  # noqa: E402
 from barlake.plans.refresh import WarehouseState  # noqa: E402
-from barlake.session import checkpoint_dir, fresh_path  # noqa: E402
+from barlake.session import checkpoint_dir, scratch_path  # noqa: E402
 from barlake.sinks import layers, tables  # noqa: E402
 
 try:  # the text operators are an optional part, and so are the modules they need
@@ -253,21 +253,21 @@ def q_bronze_json_rows(spark, d):
 
 def q_bronze_manifest(spark, d):
     lh = _lh(spark, d)
-    path = fresh_path(spark, "bronze")
+    path = scratch_path(spark, "bronze")
     layers.save_bronze(lh.bronze.drop("ingest_seq"), path, lh.run_date, fmt="json")
     return tables.partition_manifest(spark, path, "data_date")
 
 
 def q_silver_manifest(spark, d):
     lh = _lh(spark, d)
-    path = fresh_path(spark, "silver")
+    path = scratch_path(spark, "silver")
     layers.save_silver(lh.silver.drop("ingest_seq"), path, lh.run_date)
     return tables.partition_manifest(spark, path, "trading_date")
 
 
 def q_gold_manifest(spark, d):
     lh = _lh(spark, d)
-    path = fresh_path(spark, "gold")
+    path = scratch_path(spark, "gold")
     layers.save_gold(lh.gold, path, run_date=lh.run_date)
     return (tables.read_layer(spark, path).groupBy("trading_date")
                   .agg(F.count(F.lit(1)).alias("rows"), F.sum("volume").cast("bigint").alias("volume")))
@@ -276,7 +276,7 @@ def q_gold_manifest(spark, d):
 def q_written_keys(spark, d):
     """The (day, venue) partitions that the gold sink reports to have written."""
     lh = _lh(spark, d)
-    result = layers.save_gold(lh.gold, fresh_path(spark, "gold"), run_date=lh.run_date)
+    result = layers.save_gold(lh.gold, scratch_path(spark, "gold"), run_date=lh.run_date)
     return spark.createDataFrame(result["keys"], "trading_date string, venue string")
 
 
@@ -288,7 +288,7 @@ def _windows():
 def q_gold_incremental(spark, d):
     """Gold written by the job in runs over adjoining windows, the later one
     venue by venue: equal to one rebuild."""
-    root = fresh_path(spark, "medallion")
+    root = scratch_path(spark, "medallion")
     raw = _lh(spark, d).raw
     for start, end, venues in _windows():
         run_medallion(spark, raw, MedallionConfig(lake_root=root, start_date=start, end_date=end, exchanges=venues,
@@ -307,7 +307,7 @@ def _refreshed(spark, d) -> WarehouseState:
     lh = _lh(spark, d)
     key = (spark.conf.get("spark.app.id", ""), d, lh._input_state)
     if key not in _RUNS:
-        root = fresh_path(spark, "warehouse")
+        root = scratch_path(spark, "warehouse")
         state = WarehouseState(spark, f"{root}/gold", f"{root}/state", price_decimals=lh.price_decimals)
         for start, end, venues in _windows():
             stats = run_medallion(spark, lh.raw, MedallionConfig(
@@ -339,7 +339,7 @@ def q_run_manifest(spark, d):
 def q_gold_view_stored(spark, d):
     """The analytics view opened by its stored name over the incremental gold."""
     gold = _refreshed(spark, d).gold.path
-    root = fresh_path(spark, "views")
+    root = scratch_path(spark, "views")
     venues = ", ".join(f"'{v}'" for v in warehouse_ops.GOLD_VIEW_EXCHANGES)
     tables.save_view(spark, root, GOLD_VIEW, gold, warehouse_ops.GOLD_VIEW_COLUMNS, f"exchange IN ({venues})")
     return tables.open_view(spark, root, GOLD_VIEW)
@@ -348,7 +348,7 @@ def q_gold_view_stored(spark, d):
 def q_warehouse_integrity(spark, d):
     """The integrity report of one warehouse build over the incremental gold."""
     lh = _lh(spark, d)
-    built = build_warehouse(spark, _refreshed(spark, d).gold.path, fresh_path(spark, "built"), price_decimals=lh.price_decimals)
+    built = build_warehouse(spark, _refreshed(spark, d).gold.path, scratch_path(spark, "built"), price_decimals=lh.price_decimals)
     return built["integrity"]
 
 

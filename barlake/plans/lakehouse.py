@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.operators import bi, bronze, checks, gold, silver, warehouse
-from barlake.session import checkpoint_dir, fingerprint, fresh_path
+from barlake.session import checkpoint_dir, fingerprint, scratch_path
 from barlake.sinks import tables
 from barlake.sources import landing
 
@@ -67,7 +67,7 @@ class Lakehouse:
                self.price_decimals, self.batch_ts, self.run_date, name)
         if key not in _STORED:
             checkpoint_dir(self.spark)
-            _STORED[key] = tables.materialize(build(), fresh_path(self.spark, name), **clustering)
+            _STORED[key] = tables.materialize(build(), scratch_path(self.spark, name), **clustering)
         return _STORED[key]
 
     # -- landing -------------------------------------------------------------

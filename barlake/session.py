@@ -7,6 +7,8 @@ that setting (tests, laptop runs) gets a private scratch folder.
 
 from __future__ import annotations
 
+import atexit
+import logging
 import math
 import os
 import re
@@ -37,6 +39,8 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+log = logging.getLogger(__name__)
+
 LAKE_ROOT_CONF = "spark.barlake.lake.root"
 
 
@@ -151,3 +155,26 @@ def lake_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unique table location under the lake root."""
     return f"{lake_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scratch: dict[str, str] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new location for a table that only this application reads. The application's
+    scratch folder is deleted when the driver ends; that of a driver that was killed
+    can be told by the application's id in its name."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        _scratch[app] = folder = f"{lake_root(spark)}/scratch-{app}"
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        atexit.register(_delete_at_exit, files, location)
+    return f"{_scratch[app]}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _delete_at_exit(files, location) -> None:
+    try:
+        files.delete(location, True)
+    except Exception as gone:  # the JVM may have ended before the driver's Python
+        log.warning("scratch tables are left in %s (%s)", location, type(gone).__name__)
