@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import read_table, typed
+from barlake.llm.common import read_table, stored, typed
 
 # The phrases of the contract with their labels.
 BASE_PHRASES = (
@@ -78,9 +78,10 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = typed(docs, doc_id="bigint", text="string").select(
+    # the words are read twice, for the pairs and for their number: found once
+    docs = stored(typed(docs, doc_id="bigint", text="string").select(
         "doc_id", F.xxhash64("text").alias("version"),
-        F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)).alias("words"))
+        F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)).alias("words")), "words")
     pairs = F.transform("words", lambda w, i: F.concat_ws(" ", w, F.get("words", i + 1)))
     hits = (docs.select("doc_id", "version", F.posexplode(pairs).alias("place", "pair"))
             .join(F.broadcast(template_pairs(spark)),
