@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.session import checkpoint_dir, fresh_path
+from barlake.session import checkpoint_dir, scratch_path
 
 #: Rows that one Arrow batch holds at most. A batch of documents stays some
 #: megabytes even where the texts are long.
@@ -76,6 +76,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     with files that every executor sees."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    path = fresh_path(spark, name)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

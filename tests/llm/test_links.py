@@ -42,3 +42,19 @@ def test_counts_equal_the_pairs_and_odd_rows(spark, monkeypatch):
     assert sorted(r.shared for r in pairs) == [12, 12, 13] and sum(r[2] for r in got if r[0] != "1") + 2 == 2 * len(pairs)
     assert sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in ngram_join.document_links(df).collect()) == got
     assert ngram_join.document_links(df.limit(0)).count() == 0 == ngram_join.class_links(df.limit(0)).count()
+
+
+def test_components_by_shuffle(spark, monkeypatch):
+    """Classes and pairs to verify beyond the broadcast bound."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for g in range(6):
+        base = list(rng.choice(words, 60))
+        for i in range(6):
+            copy = list(base)
+            copy[int(rng.integers(60))] = f"x{i}"
+            rows.append((10 * g + i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(ngram_join, "BROADCAST_CLASSES", 0)
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.components(df).collect()) == slow_components(rows)
