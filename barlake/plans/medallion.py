@@ -43,6 +43,9 @@ class MedallionConfig:
     write_mode: str = "dynamic_overwrite"
     bronze_format: str = "parquet"  # or "json"
     price_decimals: int | None = None
+    #: Landed time is a stored text column: only row groups that can hold days of the
+    #: window are read. What else has landed then isn't counted (no reject counts).
+    prune_landing: bool = False
 
     def path(self, layer: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{layer}"
@@ -68,23 +71,12 @@ def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
     stats: dict = {"run_date": run_date.isoformat(), "status": "no_rows"}
 
     # bronze
-    rejects = Observation(f"rejects_{uuid.uuid4().hex}")
-    b = bronze.bronze_bars(raw, cfg.start_date, cfg.end_date, exchanges=cfg.exchanges,
-                           listing=listing, run_date=run_date, rejects=rejects)
+    rejects = None if cfg.prune_landing else Observation(f"rejects_{uuid.uuid4().hex}")
+    b = bronze.bronze_bars(raw, cfg.start_date, cfg.end_date, exchanges=cfg.exchanges, listing=listing,
+                           run_date=run_date, rejects=rejects, stored_text=cfg.prune_landing)
     staged = layers.stage(b, cfg.path("bronze"), layers.BRONZE, fmt=cfg.bronze_format)
-    seen = observed(rejects)
-    if not seen:  # an empty result leaves the plan without its observation: count by itself
-        served = raw if cfg.exchanges is None else raw.where(strip_upper(F.col("exchange")).isin(list(cfg.exchanges)))
-        seen = {r["reason"]: r["rows"] for r in bronze.bronze_rejects(served, cfg.start_date, cfg.end_date).collect()}
-        seen["landed"] = sum(seen.values())
-        if seen.get("invalid_date"):
-            seen["unreadable"] = bronze.unreadable_days(served)
-    stats["landed_rows"] = seen.get("landed") or 0
-    stats["rejected"] = {name: seen.get(name) or 0 for name in bronze.REJECT_REASONS}
-    if stats["rejected"]["invalid_date"]:
-        stats["unreadable_days"] = sorted(x for x in seen.get("unreadable") or [] if x is not None)
-        log.warning("bronze: %s rows without a readable day, such as %s",
-                    stats["rejected"]["invalid_date"], stats["unreadable_days"])
+    if rejects is not None:
+        stats |= _rejects(raw, cfg, observed(rejects))
     bronze.check_days(staged.days(), cfg.start_date, cfg.end_date)
     if layers.publish(staged, layers.BRONZE, run_date, mode=cfg.write_mode) is None:
         return stats
@@ -121,6 +113,23 @@ def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
     return stats
 
 
+def _rejects(raw: DataFrame, cfg: MedallionConfig, seen: dict) -> dict:
+    """Landed and rejected rows, and some of the texts without a readable day."""
+    if not seen:  # an empty result leaves the plan without its observation: count by itself
+        served = raw if cfg.exchanges is None else raw.where(strip_upper(F.col("exchange")).isin(list(cfg.exchanges)))
+        seen = {r["reason"]: r["rows"] for r in bronze.bronze_rejects(served, cfg.start_date, cfg.end_date).collect()}
+        seen["landed"] = sum(seen.values())
+        if seen.get("invalid_date"):
+            seen["unreadable"] = bronze.unreadable_days(served)
+    stats: dict = {"landed_rows": seen.get("landed") or 0,
+                   "rejected": {name: seen.get(name) or 0 for name in bronze.REJECT_REASONS}}
+    if stats["rejected"]["invalid_date"]:
+        stats["unreadable_days"] = sorted(x for x in seen.get("unreadable") or [] if x is not None)
+        log.warning("bronze: %s rows without a readable day, such as %s",
+                    stats["rejected"]["invalid_date"], stats["unreadable_days"])
+    return stats
+
+
 def _validated(staged: Staged, contract: contracts.Contract, strict: bool) -> list[dict]:
     """The contract's violations in staged rows; rows that it refuses are discarded,
     and the layer stays as it was."""

@@ -78,6 +78,16 @@ def test_ranges_reach_the_scan(spark, tmp_lake):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_a_pruned_run_equals_a_counting_one(spark, tmp_lake):
+    days = _every(D(2024, 1, 1), 100, 1) + ["nope", " 2024-02-03 ", "02/04/2024"]
+    _bars(spark, days).write.parquet(tmp_lake + "/landed")
+    landed = tables.read_layer(spark, tmp_lake + "/landed")
+    one = run_medallion(spark, landed, _config(tmp_lake + "/a", "2024-02-01", "2024-02-29", strict=False))
+    two = run_medallion(spark, landed, _config(tmp_lake + "/b", "2024-02-01", "2024-02-29", strict=False, prune_landing=True))
+    assert one["rejected"]["invalid_date"] == 1 and "rejected" not in two and one["gold_keys"] == two["gold_keys"]
+    _same(*(tables.read_layer(spark, f"{tmp_lake}/{x}/gold") for x in "ab"))
+
+
 def _nodes(plan):
     if "AdaptiveSparkPlan" in plan.getClass().getName():
         return _nodes(plan.executedPlan())
