@@ -127,6 +127,12 @@ def parse_text_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Colu
     return F.coalesce(day, *others) if others else day
 
 
+def evaluated_once(c: Column) -> Column:
+    """A generator of the one value of ``c``: what reads the column doesn't get the
+    expression copied into it by the optimizer."""
+    return F.explode(F.array(c))
+
+
 def parse_date(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Lenient day parse of a column of any type: temporal values are
     truncated to midnight, text is parsed, anything unparseable is null."""

@@ -87,3 +87,8 @@ def test_texts_are_matched_once(spark):
     assert bronze.count("regexp_replace(") == silver.count("regexp_replace(") == 1 and bronze.count("date_format(") == 2
     # five number columns, and close once more in the filter below the joins
     assert silver.count("regexp_extract(") == 6 and silver.count("RLIKE(") == 1
+    from barlake.operators.bronze import bronze_rejects
+    from barlake.operators.silver import silver_bars
+    for df in (bronze_rejects(lh.raw, "2016-01-01", "2020-12-31"), silver_bars(lh.raw, on_bad_date="drop"),
+               silver_bars(lh.raw, on_bad_date="raise")):
+        assert _optimized(df).count("regexp_replace(") == 1
