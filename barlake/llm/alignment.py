@@ -61,6 +61,9 @@ class Pair:
         self.length_a = np.zeros(max(self.bytes_a) + 1, np.int64)
         self.length_a[list(self.bytes_a)] = [len(t) for t in self.bytes_a.values()]
         self.length_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        # each id as text inside a group and at the end of its side of it
+        top = len(self.length_a)
+        self.written = [f"{i}{end}" for i in range(top) for end in ",|"] + [f"{i}{end}" for i in range(len(self.bytes_b)) for end in ",;"]
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -74,26 +77,29 @@ class Pair:
             same = text and b"".join(map(self.bytes_b.__getitem__, b)) == raw == b"".join(map(self.bytes_a.__getitem__, a))
             yield (a, b) if same else ([], [])
 
-    def align(self, a: list[int], b: list[int]) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
-        """Ends of the groups in ``a`` and in ``b``, and both ids of every link: each
-        stretch between two neighbouring token ends lies in one token of either."""
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        ends_a, ends_b = self.length_a[ids_a].cumsum(), self.length_b[ids_b].cumsum()
-        cuts = np.union1d(ends_a, ends_b)
-        at_a, at_b = ends_a.searchsorted(cuts), ends_b.searchsorted(cuts)
-        both = (ends_a[at_a] == cuts) & (ends_b[at_b] == cuts)
-        return (at_a[both] + 1).tolist(), (at_b[both] + 1).tolist(), ids_a[at_a], ids_b[at_b]
-
-
-def groups_text(a: list[int], b: list[int], stops_a: list[int], stops_b: list[int]) -> str:
-    out, i, j = [], 0, 0
-    for k, m in zip(stops_a, stops_b):
-        if k - i == 1 == m - j:
-            out.append(f"{a[i]}|{b[j]}")
-        else:
-            out.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-        i, j = k, m
-    return ";".join(out)
+    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ends of the groups in ``a`` and in ``b``, and the places of both tokens of every
+        link: each stretch between two neighbouring token ends lies in one token of
+        either."""
+        ends_a, ends_b = self.length_a[a].cumsum(), self.length_b[b].cumsum()
+        mark = np.zeros(ends_a[-1] + 1, np.int8)
+        mark[ends_a] = 1
+        mark[ends_b] += 2
+        ends = mark[np.flatnonzero(mark)]
+        in_a, in_b = ends & 1, ends >> 1
+        stops_a, stops_b = in_a.cumsum(), in_b.cumsum()
+        both = ends == 3
+        return stops_a[both], stops_b[both], stops_a - in_a, stops_b - in_b
+
+    def groups_text(self, a: np.ndarray, b: np.ndarray, stops_a: np.ndarray, stops_b: np.ndarray) -> str:
+        """``a1,a2|b1;a3|b2,b3``: the ids of each group's sides, written in their order."""
+        codes = np.empty(len(a) + len(b), np.int64)
+        for ids, stops, before, base in ((a, stops_a, np.append(0, stops_b[:-1]), 0), (b, stops_b, stops_a, 2 * len(self.length_a))):
+            sizes = np.diff(stops, prepend=0)
+            own = base + 2 * ids
+            own[stops - 1] += 1
+            codes[np.arange(len(ids)) + np.repeat(before, sizes)] = own
+        return "".join(map(self.written.__getitem__, codes.tolist()))[:-1]
 
 
 _pairs: dict[str, Pair] = {}
@@ -129,10 +135,11 @@ def aligned_texts(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> tu
                 if not a:
                     rows.append((0, 0, 0, 0, "", [], []))
                     continue
-                stops_a, stops_b, of_a, of_b = pair.align(a, b)
-                pairs, links = np.unique(of_a * width + of_b, return_counts=True)
-                groups = hashlib.sha256(groups_text(a, b, stops_a, stops_b).encode()).hexdigest()
-                rows.append((len(a), len(b), len(stops_a), len(of_a), groups, pairs, links))
+                a, b = np.array(a, np.int64), np.array(b, np.int64)
+                stops_a, stops_b, at_a, at_b = pair.align(a, b)
+                pairs, links = np.unique(a[at_a] * width + b[at_b], return_counts=True)
+                groups = hashlib.sha256(pair.groups_text(a, b, stops_a, stops_b).encode()).hexdigest()
+                rows.append((len(a), len(b), len(stops_a), len(at_a), groups, pairs, links))
             columns = list(zip(*rows)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), batch.column("copies"), *[pa.array(c, pa.int64()) for c in columns[:4]],
