@@ -405,6 +405,13 @@ def q_fact_yearly_plain(spark, d):
     return fact_yearly(fact_monthly(lh.fact, lh.dim_date, places=10), places=6)
 
 
+def q_fact_yearly_units(spark, d):
+    """The yearly fact over plain monthly averages at 10 decimals, summed as integers
+    of these: no result depends on the order in which doubles are added."""
+    lh = _plain(spark, d)
+    return fact_yearly(fact_monthly(lh.fact, lh.dim_date, places=10), places=6, units=10)
+
+
 def q_top_symbols_plain(spark, d):
     lh = _plain(spark, d)
     return top_symbols_last_dates(lh.fact, lh.dim_date, lh.dim_symbol, places=6)
@@ -495,6 +502,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_ma_20_plain": q_gold_plain("ma_20"),
         "fact_monthly_plain": q_fact_monthly_plain,
         "fact_yearly_plain": q_fact_yearly_plain,
+        "fact_yearly_units": q_fact_yearly_units,
         "bi_top_symbols_30d_plain": q_top_symbols_plain,
         "bi_volume_top_5": q_bi_volume_top,
         "contract_report_broken": q_contract_broken,

@@ -183,22 +183,26 @@ def monthly_fact(state: DataFrame, symbols: DataFrame, *, price_decimals: int |
         *[mean(c, places) for c, places in _MONTH_MEASURES], "total_volume", "trading_days")
 
 
-def fact_yearly(monthly: DataFrame, *, exact: bool = False, places: int | None = None) -> DataFrame:
+def fact_yearly(monthly: DataFrame, *, exact: bool = False, places: int | None = None,
+                units: int | None = None) -> DataFrame:
     """Yearly roll-up FROM the monthly fact: day-weighted mean of the rounded
     monthly close, unweighted means of the monthly return / MAs, sums.
 
     ``exact``: the monthly values are already rounded to 2 / 4 places, so they
     are read back as integers of those units and averaged exactly. Else ``places``
-    replaces the reported decimals.
+    replaces the reported decimals. ``units``: the monthly values are read as integers
+    of ``10^-units`` and averaged exactly, whatever order they're summed in.
     """
     days = F.col("trading_days")
-    if exact:
-        close_u = to_units(F.col("avg_close_price"), CLOSE_PLACES)
-        close = units_mean_rounded(F.sum(close_u * days), F.sum(days), CLOSE_PLACES, CLOSE_PLACES)
-
-        def mean(col, places):
-            u = to_units(F.col(col), places)
-            return units_mean_rounded(F.sum(u), F.count(u), places, places)
+    if exact or units is not None:
+        own = CLOSE_PLACES if units is None else units
+        close_u = to_units(F.col("avg_close_price"), own)
+        close = units_mean_rounded(F.sum(close_u * days), F.sum(days), own, places or CLOSE_PLACES)
+
+        def mean(col, reported):
+            own = reported if units is None else units
+            u = to_units(F.col(col), own)
+            return units_mean_rounded(F.sum(u), F.count(u), own, places or reported)
         ret = mean("avg_daily_return", RETURN_PLACES)
         ma5 = mean("avg_ma_5", MA_PLACES)
         ma20 = mean("avg_ma_20", MA_PLACES)
