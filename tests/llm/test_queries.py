@@ -11,7 +11,7 @@ from barlake.llm import decontam, langid, license_scan, pii, quality, registry
 from barlake.llm.common import read_table
 from conftest import SF_SMALL
 
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,7 @@ def rows_of(columns, rows):
 def test_all_are_registered():
     assert set(registry.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert set(registry.ORACLE_SQL) <= set(entry.oracle_sql())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
