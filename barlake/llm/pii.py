@@ -58,6 +58,7 @@ _NOT_DIGIT = re.compile("[^0-9]")
 #: A secret is a run of at least so many of these characters, with so many digits and letters.
 SECRET_CHARS, SECRET_DIGITS, SECRET_LETTERS = 20, 4, 4
 _SECRET = re.compile(r"[A-Za-z0-9_+/=-]+")
+_LONG_RUN = re.compile(r"[A-Za-z0-9_+/=-]{%d,}" % SECRET_CHARS)
 
 
 def luhn(digits: str) -> bool:
@@ -109,8 +110,8 @@ def labelled_spans(text: str) -> list[Span]:
     """What the network learns: the base spans, and whole runs of a secret's form that
     touch none."""
     base = base_spans(text)
-    covered = {i for _, a, b in base for i in range(a, b)}
-    return base + [("secret", *m.span()) for m in _SECRET.finditer(text)
+    covered = {i for _, a, b in base for i in range(a, b)} if base else set()
+    return base + [("secret", *m.span()) for m in _LONG_RUN.finditer(text)
                    if fits_form("secret", m[0]) and covered.isdisjoint(range(*m.span()))]
 
 
