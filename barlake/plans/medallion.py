@@ -86,7 +86,8 @@ def run_medallion(spark: SparkSession, raw: DataFrame, cfg: MedallionConfig, *,
     # silver
     usable = F.count_if(F.col("close_price").isNotNull() & F.col("volume").isNotNull())
     staged = layers.stage(silver.silver_bars(stored, source=cfg.source, batch_ts=batch_ts), cfg.path("silver"),
-                          layers.SILVER, measures={"usable": usable})
+                          layers.SILVER, measures={"usable": usable},
+                          clustered=True)  # bronze's files are
     s = staged.read()
     stats["silver_violations"] = _validated(staged, contracts.SILVER_CONTRACT, cfg.strict)
     layers.publish(staged, layers.SILVER, run_date, mode=cfg.write_mode)

@@ -43,8 +43,9 @@ VENUE = "venue"  # clean venue code: the key below the day
 
 
 def stage(df: DataFrame, path: str, layer: Layer, *, fmt: str = "parquet",
-          measures: Mapping[str, Column] | None = None) -> Staged:
-    """Write one layer's rows without publishing them. The day column is the first
+          measures: Mapping[str, Column] | None = None, clustered: bool = False) -> Staged:
+    """Write one layer's rows without publishing them (``clustered``: see
+    ``SnapshotTable.stage``). The day column is the first
     candidate present; it must be temporal and is never coerced from text."""
     day = first_present(df, layer.day_candidates)
     if day is None:
@@ -60,7 +61,7 @@ def stage(df: DataFrame, path: str, layer: Layer, *, fmt: str = "parquet",
         df, below = df.withColumn(VENUE, strip_upper(F.col("exchange").cast("string"))), (VENUE,)
     tables.check_sink_schema(df, layer.day_column, list(layer.required) or None)
     table = SnapshotTable(df.sparkSession, path, layer.day_column, below, fmt)
-    return table.stage(df, [c for c in layer.sort if c in df.columns], measures)
+    return table.stage(df, [c for c in layer.sort if c in df.columns], measures, clustered=clustered)
 
 
 def publish(staged: Staged, layer: Layer, run_date: dt.date | None, *, mode: str = "dynamic_overwrite") -> dict | None:

@@ -1,11 +1,13 @@
 """What a large run costs: line items cross one shuffle unsorted, plain texts skip the
-general patterns."""
+general patterns, the job's runs share one landing, silver's write isn't dealt anew."""
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from barlake.functions import exprs
+from barlake.sinks.snapshots import SnapshotTable
 from barlake.sources import landing
 
 
@@ -58,3 +60,30 @@ def test_plain_texts_give_what_the_patterns_give(spark):
         assert df.where(general.cast("string").isNotNull()).count() > 3
     # the short match stands before the general one
     assert str(exprs.parse_text_date(t)).count("CASE WHEN rlike") == str(exprs.lenient_number(t)).count("CASE WHEN rlike") == 1
+
+
+def test_runs_share_one_landing(spark, tmp_lake, monkeypatch):
+    read, run = [], entry.run_medallion
+
+    def watched(session, raw, cfg, **more):
+        read.append(raw.inputFiles())
+        return run(session, raw, cfg, **more)
+
+    monkeypatch.setattr(entry, "run_medallion", watched)
+    rows = entry.queries()["gold_incremental"](spark, _tables(spark, tmp_lake)).collect()
+    assert sorted((r.symbol, r.exchange, r.trading_date.isoformat()) for r in rows) == [
+        ("00A", "HOSE", "2017-03-05"), ("00B", "HNX", "2017-03-05")]
+    assert len(read) == 3 and all("/landed-" in f for files in read for f in files) and read[0] == read[1] == read[2] != []
+
+
+def test_a_clustered_write_has_no_shuffle(spark, tmp_lake):
+    days = [(f"S{i % 7}", dt.date(2024, 1 + i % 5, 1 + i % 28), "HNX", i) for i in range(400)] + [("T", None, None, -1)]
+    first = SnapshotTable(spark, tmp_lake + "/a", "day", ("venue",))
+    one = first.stage(spark.createDataFrame(days, "symbol string, day date, venue string, n long"), ["symbol"])
+    second = SnapshotTable(spark, tmp_lake + "/b", "day", ("venue",))
+    two = second.stage(one.read().withColumn("n", F.col("n") * 2), ["symbol"], clustered=True)
+    assert two.rows == one.rows == 401 and two.keys == one.keys
+    assert sorted(map(str, two.read().collect())) == sorted(map(str, one.read().withColumn("n", F.col("n") * 2).collect()))
+    # a file a month, as in the group it reads, and compressed
+    assert len(two.read().inputFiles()) == len(one.read().inputFiles()) == 6
+    assert all(f.endswith(".zstd.parquet") for f in two.read().inputFiles())
