@@ -1,5 +1,5 @@
 """What a large run costs: line items cross one shuffle unsorted, plain texts skip the
-general patterns, the job's runs share one landing, silver's write isn't dealt anew."""
+general patterns, the job's runs share one landing, silver's and the fact's writes aren't dealt anew."""
 import datetime as dt
 
 import pytest
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from barlake.functions import exprs
+from barlake.operators import warehouse
+from barlake.plans import lakehouse
 from barlake.sinks.snapshots import SnapshotTable
 from barlake.sources import landing
 
@@ -87,3 +89,24 @@ def test_a_clustered_write_has_no_shuffle(spark, tmp_lake):
     # a file a month, as in the group it reads, and compressed
     assert len(two.read().inputFiles()) == len(one.read().inputFiles()) == 6
     assert all(f.endswith(".zstd.parquet") for f in two.read().inputFiles())
+
+
+@pytest.mark.parametrize("most", [500_000, 1])
+def test_the_fact_takes_over_golds_months(spark, tmp_lake, monkeypatch, most):
+    staged, stage = [], SnapshotTable.stage
+
+    def watched(table, df, sort=(), measures=None, *, clustered=False):
+        if table.day == "date_key":
+            staged.append(clustered)
+        return stage(table, df, sort, measures, clustered=clustered)
+
+    monkeypatch.setattr(SnapshotTable, "stage", watched)
+    monkeypatch.setattr(warehouse, "BROADCAST_SYMBOLS", most)
+    monkeypatch.setattr(lakehouse, "_STORED", {})
+    lh = lakehouse.Lakehouse(spark, _tables(spark, tmp_lake))
+    rows = sorted(tuple(r) for r in lh.fact.select("date_key", "symbol_key", "close_price", "volume").collect())
+    day = dt.date(2017, 3, 5)
+    assert rows == [(day, 1, 10.5, 3), (day, 2, 10.5, 3)]
+    # joined by shuffle, the rows have lost gold's months
+    assert staged == [most > 1]
+    assert len(lh.fact.inputFiles()) == 1
